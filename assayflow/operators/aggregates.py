@@ -65,16 +65,16 @@ def distinct_values(
 ) -> DataFrame:
     """Distinct non-null ``value`` per key: their count and (optionally) their sorted, joined list.
 
-    The (key, value) pairs are de-duplicated first, so each key carries at most one
-    row per distinct value into the final aggregate. A key whose values are all
-    null keeps one row: count 0 and an empty list.
+    One shuffle: ``collect_set`` de-duplicates on the map side, so what reaches
+    the reducer of a key is bounded by its distinct values (the size of the
+    result itself), not by its rows. A key whose values are all null gets
+    count 0 and an empty list.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    pairs = df.select(*[col(k) for k in keys], col(value)).distinct()
-    aggs = [F.count(col(value)).alias(count_name)]
+    aggs = [F.size(F.collect_set(col(value))).cast("long").alias(count_name)]
     if list_name is not None:
-        aggs.append(F.array_join(F.array_sort(F.collect_list(col(value))), sep).alias(list_name))
-    return pairs.groupBy(*[col(k) for k in keys]).agg(*aggs)
+        aggs.append(joined_distinct(value, sep).alias(list_name))
+    return df.groupBy(*[col(k) for k in keys]).agg(*aggs)
 
 
 def joined_distinct(value: str, sep: str = K.LIST_SEPARATOR) -> Column:

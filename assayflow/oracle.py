@@ -274,10 +274,204 @@ ORACLE: dict[str, str] = {
     "balanced_labels_cell": with_steps(
         """SELECT assay_component_endpoint_name,
                   count(*) FILTER (WHERE corr_hitcall = 0) AS n_zero, count(*) FILTER (WHERE corr_hitcall = 1) AS n_one
-           FROM cell_long GROUP BY 1 HAVING n_zero >= 45 AND n_one >= 45""",
+           FROM cell_long GROUP BY 1 HAVING n_zero >= 5 AND n_one >= 5""",
         "cell_long",
     ),
     "cell_binary_matrix": _matrix("cell_long", "assay_component_endpoint_name", "corr_hitcall"),
     "cellfree_binary_matrix": _matrix("cellfree_long", "assay_component_endpoint_name", "hitcall"),
     "cytotox_binary_matrix": _matrix("cytotox_long", "assay_label", "hitcall"),
 }
+
+
+# ---------------------------------------------------------------------------
+# Annotation, compound lists, standardization, bit vectors, chunks
+# ---------------------------------------------------------------------------
+
+ROLE = {
+    "reference_targets": """
+        SELECT CAST(l_partkey AS VARCHAR) AS DTXSID,
+               l_returnflag || l_linestatus || '_S' || CAST(l_suppkey % 9 AS VARCHAR) AS target,
+               CAST(l_quantity AS BIGINT) AS support
+        FROM lineitem""",
+    "reference_keys": """
+        SELECT CAST(p_partkey AS VARCHAR) AS DTXSID, p_name || '#' || p_brand AS INCHIKEY FROM part
+        WHERE p_size % 2 = 0""",
+    "compounds": """
+        SELECT p_name || '#' || p_brand AS INCHIKEY, p_name AS name, p_type AS orig_target_ann FROM part
+        WHERE p_size % 2 = 1""",
+    "drugs": """
+        SELECT CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE 'CAS-' || CAST(p_partkey % 300 AS VARCHAR) END AS CASRN,
+               p_name AS name, p_type AS target
+        FROM part""",
+    "drug_structures": """
+        SELECT CASE WHEN doc_id % 50 = 0 THEN NULL ELSE 'CAS-' || CAST(doc_id % 300 AS VARCHAR) END AS CASRN,
+               CASE WHEN doc_id % 31 = 0 THEN NULL WHEN doc_id % 37 = 0 THEN '' ELSE text END AS SMILES
+        FROM documents""",
+}
+
+
+def _role(final: str) -> str:
+    """Role views as CTEs; ``final`` may start with ``, name AS (...)`` to add more CTEs."""
+    return "WITH " + ",\n".join(f"{k} AS ({v})" for k, v in ROLE.items()) + final
+
+
+# Normalizers written as SQL over an input expression.
+def _collapse(x: str) -> str:
+    n = f"lower(trim(regexp_replace({x}, '\\s+', ' ', 'g')))"
+    return f"CASE WHEN {n} = '' THEN NULL ELSE {n} END"
+
+
+def _drop_dot(x: str) -> str:
+    return f"CASE WHEN ends_with({x}, '.') THEN left({x}, length({x}) - 1) ELSE {x} END"
+
+
+def _reverse(x: str) -> str:
+    return f"reverse({x})"
+
+
+def _rotate(x: str) -> str:
+    return f"(substr({x}, 2) || substr({x}, 1, 1))"
+
+
+def _fixpoint(source: str, norm, rounds: int = K.FIXPOINT_ROUNDS, single: bool = False) -> str:
+    """SELECT x, std FROM (source with column x): up to ``rounds`` applications, stop at a repeat, else the mode."""
+    if single:
+        return f"SELECT x, {norm('x')} AS std FROM ({source})"
+    layers = [f"f0 AS (SELECT x FROM ({source}))"]
+    prev = "x"
+    for i in range(1, rounds + 1):
+        layers.append(f"f{i} AS (SELECT *, {norm(prev)} AS r{i} FROM f{i - 1})")
+        prev = f"r{i}"
+    rs = [f"r{i}" for i in range(1, rounds + 1)]
+    counts = [" + ".join(f"CAST({a} = {b} AS INTEGER)" for a in rs) for b in rs]
+    stop = " ".join(
+        [f"WHEN r1 = x THEN r1"] + [f"WHEN {rs[i]} = {rs[i - 1]} THEN {rs[i]}" for i in range(1, rounds)]
+    )
+    pick = " ".join(f"WHEN c{i + 1} = m THEN {r}" for i, r in enumerate(rs))
+    any_null = " OR ".join(f"{r} IS NULL" for r in rs)
+    return (
+        "WITH "
+        + ", ".join(layers)
+        + f", g AS (SELECT *, {', '.join(f'({c}) AS c{i + 1}' for i, c in enumerate(counts))} FROM f{rounds})"
+        + f", h AS (SELECT *, greatest({', '.join(f'c{i + 1}' for i in range(rounds))}) AS m FROM g)"
+        + f" SELECT x, CASE WHEN {any_null} THEN NULL {stop} ELSE (CASE {pick} END) END AS std FROM h"
+    )
+
+
+def _standardized(source: str, norm=_collapse, single: bool = False) -> str:
+    """Distinct non-null values of ``source`` (column x) with the four standardize outputs."""
+    fx = _fixpoint(f"SELECT DISTINCT x FROM ({source}) WHERE x IS NOT NULL", norm, single=single)
+    return f"""SELECT x AS SMILES_original, std AS SMILES_standardized,
+                      sha256(std) AS InChI_standardized, md5(std) AS InChIKey_standardized
+               FROM ({fx})"""
+
+
+_STD_AUG = f"""
+    SELECT s.*, d.CASRN FROM drug_structures d
+    JOIN ({_standardized("SELECT SMILES AS x FROM drug_structures")}) s ON d.SMILES = s.SMILES_original"""
+
+_TOKENS = "list_filter(string_split_regex({x}, '\\s+'), lambda t: t <> '')"
+
+
+def _bits(tok: str, radius: int = K.FINGERPRINT_RADIUS, n_bits: int = K.FINGERPRINT_BITS) -> str:
+    grams = [
+        f"list_transform(range(1, len({tok}) - {n - 1} + 1), lambda i: array_to_string({tok}[i:i + {n - 1}], ' '))"
+        for n in range(1, radius + 2)
+    ]
+    feats = " || ".join(grams)
+    return (
+        f"list_sort(list_distinct(list_transform({feats}, "
+        f"lambda g: CAST(CAST(('0x' || substr(md5(g), 1, 7)) AS BIGINT) % {n_bits} AS INTEGER))))"
+    )
+
+
+_FP_META = f"""
+    SELECT SMILES_standardized AS standardized_smiles, InChIKey_standardized, CASRN,
+           coalesce(len({_TOKENS.format(x="SMILES_standardized")}) > 0, false) AS valid_mol,
+           {_TOKENS.format(x="SMILES_standardized")} AS tok
+    FROM std_aug"""
+
+ORACLE.update(
+    {
+        "select_ordered": with_steps("SELECT cell_short_name, tissue, timepoint_hr, aid FROM assay", "assay"),
+        "drop_strict": with_steps(
+            "SELECT * EXCLUDE (assay_component_desc, assay_design_type) FROM assay_component", "assay_component"
+        ),
+        "rename_columns": _role("SELECT DTXSID AS dsstox_substance_id, target, support AS n FROM reference_targets"),
+        "resolve_and_keep_columns": _role(
+            f"""SELECT SMILES_standardized AS standardized_smiles, InChIKey_standardized, CASRN
+                FROM ({_STD_AUG})"""
+        ),
+        "union_strict": with_steps(
+            """SELECT chid, 'cell' AS level, cell_short_name AS source, ntested, nhit, cytotox_median_ac50 FROM by_cell
+               UNION ALL
+               SELECT chid, 'tissue', tissue, ntested, nhit, cytotox_median_ac50 FROM by_tissue""",
+            "by_tissue",
+        ),
+        "union_aligned": """
+            SELECT doc_id AS DTXSID, CASE WHEN doc_id % 4 = 3 THEN lang END AS lang, text AS SMILES FROM documents""",
+        "distinct_ids": _role("SELECT DISTINCT DTXSID FROM reference_targets"),
+        "chunk_ids": with_steps(
+            f"""SELECT m4id, (row_number() OVER (ORDER BY m4id NULLS FIRST) - 1) // {K.CHUNK_SIZE} + 1 AS chunk
+                FROM (SELECT DISTINCT m4id FROM mc4)""",
+            "mc4",
+        ),
+        "nullsafe_inner_join": _role(
+            """SELECT d.CASRN, d.name, d.target, s.SMILES FROM drugs d
+               JOIN drug_structures s ON d.CASRN IS NOT DISTINCT FROM s.CASRN"""
+        ),
+        "compound_lists": _role(
+            """SELECT d.CASRN, d.name, d.target, s.SMILES FROM drugs d
+               JOIN drug_structures s ON d.CASRN IS NOT DISTINCT FROM s.CASRN
+               WHERE s.SMILES IS NOT NULL AND s.SMILES <> ''"""
+        ),
+        "standardize_text": _standardized("SELECT text AS x FROM documents"),
+        "standardize_single_pass": _standardized("SELECT text AS x FROM documents", single=True),
+        "standardize_augment": _role(_STD_AUG),
+        "standardize_augment_distinct_first": _role(_STD_AUG),
+        "standardize_rejects": _role(f"SELECT * FROM ({_STD_AUG}) WHERE SMILES_standardized IS NULL"),
+        "left_join_renamed_key": _role(
+            """SELECT c.INCHIKEY, c.name, c.orig_target_ann, r.DTXSID
+               FROM compounds c LEFT JOIN reference_keys r ON c.INCHIKEY = r.INCHIKEY"""
+        ),
+        "standardize_fixpoint_trailing": _standardized("SELECT text AS x FROM documents", _drop_dot),
+        "standardize_fixpoint_reverse": _standardized("SELECT p_name AS x FROM part", _reverse),
+        "standardize_fixpoint_rotate": _standardized("SELECT text AS x FROM documents", _rotate),
+        "target_counts": _role(
+            """, supported AS (SELECT DISTINCT t.DTXSID, t.target, k.INCHIKEY
+                                FROM reference_targets t JOIN reference_keys k ON t.DTXSID = k.DTXSID
+                                WHERE t.support >= 7)
+               SELECT INCHIKEY, count(DISTINCT target) AS target_count FROM supported GROUP BY INCHIKEY""".replace(
+                ", supported", "", 0
+            )
+        ),
+        "fingerprint_bits": f"""
+            SELECT doc_id, unnest({_bits(_TOKENS.format(x="text"))}) AS bit FROM documents""",
+        "fingerprint_matrix": _role(
+            f""", std_aug AS ({_STD_AUG}), meta AS ({_FP_META})
+               SELECT standardized_smiles, InChIKey_standardized, CASRN, valid_mol,
+                      array_to_string(list_transform(range({K.FINGERPRINT_BITS}),
+                          lambda b: CASE WHEN list_contains(bits, b) THEN '1' ELSE '0' END), '') AS bits
+               FROM (SELECT *, {_bits("tok")} AS bits FROM meta WHERE valid_mol)"""
+        ),
+        "fingerprint_invalid": _role(
+            f""", std_aug AS ({_STD_AUG}), meta AS ({_FP_META})
+               SELECT standardized_smiles, InChIKey_standardized, CASRN, valid_mol FROM meta WHERE NOT valid_mol"""
+        ),
+    }
+)
+
+_SUPPORTED = """, supported AS (SELECT DISTINCT t.DTXSID, t.target, k.INCHIKEY
+                     FROM reference_targets t JOIN reference_keys k ON t.DTXSID = k.DTXSID
+                     WHERE t.support >= 7),
+    lists AS (SELECT INCHIKEY, count(DISTINCT target) AS target_count,
+                     string_agg(DISTINCT target, ', ' ORDER BY target) AS targets,
+                     string_agg(DISTINCT DTXSID, ', ' ORDER BY DTXSID) AS DTXSID
+              FROM supported WHERE INCHIKEY IN (SELECT INCHIKEY FROM compounds) GROUP BY INCHIKEY)
+"""
+
+ORACLE["target_counts"] = _role(
+    _SUPPORTED + "SELECT INCHIKEY, count(DISTINCT target) AS target_count FROM supported GROUP BY INCHIKEY"
+)
+ORACLE["target_lists"] = _role(_SUPPORTED + "SELECT * FROM lists")
+ORACLE["annotate_compounds"] = _role(_SUPPORTED + "SELECT * FROM compounds LEFT JOIN lists USING (INCHIKEY)")

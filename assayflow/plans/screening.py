@@ -96,6 +96,7 @@ def clean_endpoints(endpoint: DataFrame) -> DataFrame:
 
 @dataclass
 class EndpointSets:
+    cell: DataFrame
     cell_viability: DataFrame
     cell_other: DataFrame
     cellfree: DataFrame
@@ -118,7 +119,7 @@ def endpoint_metadata(inputs: ScreeningInputs) -> EndpointSets:
     cellfree = select_ordered(cellfree, K.ENDPOINT_COLUMNS)
     viability = flt.equals(cell, "cell_viability_assay", 1)
     other = flt.not_equals(flt.equals(cell, "cell_viability_assay", 0), "cell_short_name", K.NA_CELL_NAME)
-    return EndpointSets(viability, other, cellfree)
+    return EndpointSets(cell, viability, other, cellfree)
 
 
 # ---------------------------------------------------------------------------

@@ -12,9 +12,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from assayflow import constants as K
+from assayflow.functions import text
+from assayflow.operators import aggregates, chunking, fingerprints, standardize
+from assayflow.operators import columns as cols
 from assayflow.operators import filters as flt
 from assayflow.operators import joins
 from assayflow.operators.matrix import balanced_labels
+from assayflow.plans import annotate, bitvectors, chunks, compounds
 from assayflow.plans import screening as S
 from assayflow.sources.bindings import Tables
 
@@ -109,8 +113,7 @@ def endpoint_semi_filter(spark, folder):
 
 @query
 def endpoint_metadata_join(spark, folder):
-    eps = S.endpoint_metadata(_inputs(spark, folder))
-    return eps.cell_viability.unionByName(eps.cell_other)
+    return S.endpoint_metadata(_inputs(spark, folder)).cell
 
 
 @query
@@ -267,9 +270,183 @@ def cytotox_binary_matrix(spark, folder):
     return S.wide(S.cytotox_binary_long(_Screen(spark, folder).cytotox_proc()), "assay_label", "hitcall")
 
 
-# A class-balance threshold that the driver tables actually exercise (the rule default 5
-# keeps every label at these sizes).
-BALANCE_QUERY_MIN = 45
+# ---------------------------------------------------------------------------
+# Column operators
+# ---------------------------------------------------------------------------
+
+
+@query
+def select_ordered(spark, folder):
+    return cols.select_ordered(Tables(spark, folder).assay(), ["cell_short_name", "tissue", "timepoint_hr", "aid"])
+
+
+@query
+def drop_strict(spark, folder):
+    return cols.drop_strict(Tables(spark, folder).assay_component(), ["assay_component_desc", "assay_design_type"])
+
+
+@query
+def rename_columns(spark, folder):
+    return cols.rename(Tables(spark, folder).reference_targets(), {"DTXSID": "dsstox_substance_id", "support": "n"})
+
+
+@query
+def resolve_and_keep_columns(spark, folder):
+    return bitvectors.meta_columns(_standardized_structures(spark, folder))
+
+
+@query
+def union_strict(spark, folder):
+    s = _Screen(spark, folder)
+    cell = s.by_cell().withColumnRenamed("cell_short_name", "source").withColumn("level", F.lit("cell"))
+    tissue = s.by_tissue().withColumnRenamed("tissue", "source").withColumn("level", F.lit("tissue"))
+    order = ["chid", "level", "source", "ntested", "nhit", "cytotox_median_ac50"]
+    return cols.union_strict([cell.select(*order), tissue.select(*order)])
+
+
+@query
+def union_aligned(spark, folder):
+    return compounds.stack_chunks(Tables(spark, folder).document_chunks())
+
+
+# ---------------------------------------------------------------------------
+# P1: id chunks
+# ---------------------------------------------------------------------------
+
+
+@query
+def distinct_ids(spark, folder):
+    return chunks.distinct_ids(Tables(spark, folder).reference_targets(), "DTXSID")
+
+
+@query
+def chunk_ids(spark, folder):
+    return chunking.chunk_ids(Tables(spark, folder).mc4(), "m4id", K.CHUNK_SIZE)
+
+
+# ---------------------------------------------------------------------------
+# P2: compound lists and standardization
+# ---------------------------------------------------------------------------
+
+
+@query
+def nullsafe_inner_join(spark, folder):
+    t = Tables(spark, folder)
+    return joins.nullsafe_inner(t.drugs(), t.drug_structures(), "CASRN")
+
+
+@query
+def compound_lists(spark, folder):
+    t = Tables(spark, folder)
+    return compounds.attach_structures(t.drugs(), t.drug_structures(), "CASRN")
+
+
+@query
+def standardize_text(spark, folder):
+    return standardize.standardize(Tables(spark, folder).documents_as_structures())
+
+
+@query
+def standardize_single_pass(spark, folder):
+    return standardize.standardize(Tables(spark, folder).documents_as_structures(), method="single_pass")
+
+
+@query
+def standardize_augment(spark, folder):
+    return _standardized_structures(spark, folder)
+
+
+@query
+def standardize_augment_distinct_first(spark, folder):
+    return standardize.standardize(Tables(spark, folder).drug_structures(), augment=True, distinct_first=True)
+
+
+@query
+def standardize_rejects(spark, folder):
+    return standardize.rejects(_standardized_structures(spark, folder))
+
+
+@query
+def left_join_renamed_key(spark, folder):
+    t = Tables(spark, folder)
+    ref = t.reference_keys().withColumnRenamed("INCHIKEY", "ref_key")
+    return joins.left_renamed_key(t.compounds(), ref, "INCHIKEY", "ref_key")
+
+
+@query
+def standardize_fixpoint_trailing(spark, folder):
+    return standardize.standardize(
+        Tables(spark, folder).documents_as_structures(), normalizer=text.drop_trailing(".")
+    )
+
+
+@query
+def standardize_fixpoint_reverse(spark, folder):
+    names = Tables(spark, folder).raw("part").select(F.col("p_name").alias("SMILES"))
+    return standardize.standardize(names, normalizer=text.reverse_text)
+
+
+@query
+def standardize_fixpoint_rotate(spark, folder):
+    return standardize.standardize(Tables(spark, folder).documents_as_structures(), normalizer=text.rotate_left)
+
+
+def _standardized_structures(spark, folder):
+    return standardize.standardize(Tables(spark, folder).drug_structures(), augment=True)
+
+
+# ---------------------------------------------------------------------------
+# P3: target annotation
+# ---------------------------------------------------------------------------
+
+
+@query
+def target_counts(spark, folder):
+    t = Tables(spark, folder)
+    supported = annotate.supported_targets(t.reference_targets(), t.reference_keys())
+    return aggregates.distinct_values(supported, "INCHIKEY", "target", "target_count")
+
+
+@query
+def target_lists(spark, folder):
+    t = Tables(spark, folder)
+    supported = annotate.supported_targets(t.reference_targets(), t.reference_keys())
+    return annotate.target_summary(supported, t.compounds())
+
+
+@query
+def annotate_compounds(spark, folder):
+    t = Tables(spark, folder)
+    return annotate.annotate(t.compounds(), t.reference_targets(), t.reference_keys())
+
+
+# ---------------------------------------------------------------------------
+# P9: bit vectors
+# ---------------------------------------------------------------------------
+
+
+@query
+def fingerprint_bits(spark, folder):
+    docs = Tables(spark, folder).raw("documents")
+    return docs.select("doc_id", F.explode(fingerprints.on_bits(F.col("text"))).alias("bit"))
+
+
+@query
+def fingerprint_matrix(spark, folder):
+    valid = bitvectors.bit_tables(_standardized_structures(spark, folder)).valid
+    return valid.select(
+        *[c for c in valid.columns if c != "fingerprint"],
+        fingerprints.bitstring(F.col("fingerprint")).alias("bits"),
+    )
+
+
+@query
+def fingerprint_invalid(spark, folder):
+    return bitvectors.bit_tables(_standardized_structures(spark, folder)).invalid
+
+
+# The rule default; at sf0.01 it already drops labels with fewer than 5 ones.
+BALANCE_QUERY_MIN = K.MIN_CLASS_COUNT
 
 
 def flagship(spark: SparkSession, folder: str) -> DataFrame:

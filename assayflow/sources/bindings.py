@@ -207,23 +207,37 @@ class Tables:
         )
 
     def drugs(self) -> DataFrame:
-        """(cas_number, name, target): null CAS every 40th part."""
+        """(CASRN, name, target): null CAS every 40th part."""
         key = F.col("p_partkey")
         return self.raw("part").select(
-            F.when(key % 40 == 0, F.lit(None)).otherwise(F.concat(F.lit("CAS-"), (key % 300).cast("string"))).alias(
-                "cas_number"
-            ),
+            F.when(key % 40 == 0, F.lit(None)).otherwise(F.concat(F.lit("CAS-"), (key % 300).cast("string"))).alias("CASRN"),
             F.col("p_name").alias("name"),
             F.col("p_type").alias("target"),
         )
 
+    def documents_as_structures(self) -> DataFrame:
+        """(DTXSID, SMILES): every document's whole text as a structure text."""
+        return self.raw("documents").select(F.col("doc_id").alias("DTXSID"), F.col("text").alias("SMILES"))
+
+    def document_chunks(self) -> list[DataFrame]:
+        """Four id-chunk result files whose headers differ (the last one has an extra column)."""
+        d = self.raw("documents")
+        frames = [
+            d.filter(F.col("doc_id") % 4 == i).select(F.col("doc_id").alias("DTXSID"), F.col("text").alias("SMILES"))
+            for i in range(3)
+        ]
+        frames.append(
+            d.filter(F.col("doc_id") % 4 == 3).select(
+                F.col("doc_id").alias("DTXSID"), F.col("lang"), F.col("text").alias("SMILES")
+            )
+        )
+        return frames
+
     def drug_structures(self) -> DataFrame:
-        """(cas_number, SMILES): structure text per CAS, with null and blank texts and null CAS."""
+        """(CASRN, SMILES): structure text per CAS, with null and blank texts and null CAS."""
         doc = F.col("doc_id")
         return self.raw("documents").select(
-            F.when(doc % 50 == 0, F.lit(None)).otherwise(F.concat(F.lit("CAS-"), (doc % 300).cast("string"))).alias(
-                "cas_number"
-            ),
+            F.when(doc % 50 == 0, F.lit(None)).otherwise(F.concat(F.lit("CAS-"), (doc % 300).cast("string"))).alias("CASRN"),
             F.when(doc % 31 == 0, F.lit(None))
             .when(doc % 37 == 0, F.lit(""))
             .otherwise(F.col("text"))
