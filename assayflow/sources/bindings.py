@@ -19,11 +19,11 @@ the views grow with the data they are read from.
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayflow.sources.files import ensure_parallelism
+
 TABLES = [
     "region",
     "nation",
@@ -42,6 +42,10 @@ TABLES = [
 ]
 
 
+# Tables whose row count grows with the data and that carry the per-row work.
+FACT_TABLES = {"lineitem", "orders", "documents", "pages", "events", "conversations", "embeddings"}
+
+
 def _first_word(col: str) -> Column:
     return F.substring_index(F.col(col), " ", 1)
 
@@ -63,7 +67,8 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return ensure_parallelism(df) if name in FACT_TABLES else df
 
     # -- assay database roles -------------------------------------------------
 

@@ -92,6 +92,21 @@ def read_table(
     raise ValueError("Input must be either a filename or a DataFrame.")
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A file written as one row group is one read task, and every narrow step
+    above it (projections, generators, partial aggregates) then runs on one
+    core. When the scan has fewer than ``min_partitions`` (default: the
+    session's default parallelism) partitions, the rows are round-robined out
+    once; with enough splits (any large input) the scan is returned unchanged.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def require_nonempty(df: DataFrame) -> DataFrame:
     """Fail when ``df`` has no rows (reads at most one row)."""
     if df.isEmpty():
