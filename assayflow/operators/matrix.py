@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from assayflow import constants as K
 from assayflow.operators.columns import col
+from assayflow.session import cut_lineage
 
 # A wide table with more columns than this is refused (Spark's own pivot limit).
 MAX_PIVOT_VALUES = 10_000
@@ -97,9 +98,12 @@ def binary_matrix(
     full pivot would. Null labels are dropped (they would make a column "null").
     ``long_df`` must have one row per (index, label), e.g. after ``majority_vote``.
     """
-    if labels is None:
-        labels = label_list(balanced_labels(long_df, label, value, min_count), label)
     base = long_df.filter(col(label).isNotNull())
+    if labels is None:
+        # Two jobs read the long form (label list, then pivot): write it once to
+        # the shared checkpoint folder instead of computing its lineage twice.
+        base = cut_lineage(base)
+        labels = label_list(balanced_labels(base, label, value, min_count), label)
     if not labels:
         return base.select(col(index)).distinct()
     return base.groupBy(col(index)).pivot(label, list(labels)).agg(F.first(col(value)))

@@ -96,30 +96,62 @@ def clean_endpoints(endpoint: DataFrame) -> DataFrame:
 
 @dataclass
 class EndpointSets:
+    tagged: DataFrame
     cell: DataFrame
     cell_viability: DataFrame
     cell_other: DataFrame
     cellfree: DataFrame
 
 
-def endpoint_metadata(inputs: ScreeningInputs) -> EndpointSets:
-    """Joined endpoint metadata per branch, in the fixed column order.
+def endpoint_branches(inputs: ScreeningInputs) -> DataFrame:
+    """Every selected endpoint once, with its metadata and a ``branch`` tag.
 
+    One join of assays, components and endpoints serves both assay branches:
+    ``is_cell`` marks cell-based assays (the others kept are cell-free), and
+    ``branch`` is ``viability`` / ``other`` for cell-based viability and primary
+    endpoints and ``cellfree`` for cell-free ones (null for cell-based primary
+    endpoints without a cell name, which only the full cell-based set keeps).
     The id-list filters of the source (components of selected assays,
-    endpoints of selected components) are exactly the inner joins below, so
-    they are not written twice.
+    endpoints of selected components) are exactly these inner joins.
     """
-    cell_assay, cellfree_assay = select_assays(inputs.assay)
+    name = F.col("assay_name")
+    base = (F.col("cell_format") != F.lit(K.EXCLUDED_CELL_FORMAT)) & (F.col("organism") == F.lit(K.REQUIRED_ORGANISM))
+    is_cell = F.col("cell_format").isin(K.CELL_BASED_FORMATS) & ~name.isin(K.EXCLUDED_CELL_ASSAYS)
+    for mark in [K.FOLLOWUP_MARK, *K.CELL_ONLY_NAME_MARKS]:
+        is_cell = is_cell & ~F.contains(name, F.lit(mark))
+    is_free = F.col("cell_format").isin(K.CELL_FREE_FORMATS) & ~F.contains(name, F.lit(K.FOLLOWUP_MARK))
+    assays = inputs.assay.select(
+        *K.ASSAY_KEEP,
+        F.coalesce(base & is_cell, F.lit(False)).alias("is_cell"),
+        F.coalesce(base & is_free, F.lit(False)).alias("is_free"),
+    ).filter(F.col("is_cell") | F.col("is_free"))
     comp = clean_components(inputs.assay_component)
     ep = clean_endpoints(inputs.assay_component_endpoint)
-    cell_comp = flt.not_equals(comp, "assay_design_type", K.EXCLUDED_DESIGN_TYPE)
-    cell = joins.inner(joins.inner(cell_comp, ep, "acid"), cell_assay, "aid")
-    cell = select_ordered(cell, K.ENDPOINT_COLUMNS)
-    cellfree = joins.inner(joins.inner(comp, ep, "acid"), cellfree_assay, "aid")
-    cellfree = select_ordered(cellfree, K.ENDPOINT_COLUMNS)
-    viability = flt.equals(cell, "cell_viability_assay", 1)
-    other = flt.not_equals(flt.equals(cell, "cell_viability_assay", 0), "cell_short_name", K.NA_CELL_NAME)
-    return EndpointSets(cell, viability, other, cellfree)
+    meta = joins.inner(joins.inner(comp, ep, "acid"), assays.drop("is_free"), "aid")
+    meta = meta.filter(~F.col("is_cell") | (F.col("assay_design_type") != F.lit(K.EXCLUDED_DESIGN_TYPE)))
+    viab = F.col("cell_viability_assay")
+    branch = (
+        F.when(F.col("is_cell") & (viab == 1), F.lit("viability"))
+        .when(F.col("is_cell") & (viab == 0) & (F.col("cell_short_name") != F.lit(K.NA_CELL_NAME)), F.lit("other"))
+        .when(~F.col("is_cell"), F.lit("cellfree"))
+    )
+    return select_ordered(meta, [*K.ENDPOINT_COLUMNS, "is_cell"]).withColumn("branch", branch)
+
+
+def endpoint_metadata(inputs: ScreeningInputs) -> EndpointSets:
+    """Joined endpoint metadata per branch, in the fixed column order (views of one tagged table)."""
+    tagged = endpoint_branches(inputs)
+
+    def view(cond) -> DataFrame:
+        return tagged.filter(cond).select(*K.ENDPOINT_COLUMNS)
+
+    return EndpointSets(
+        tagged=tagged,
+        cell=view(F.col("is_cell")),
+        cell_viability=view(F.col("branch") == "viability"),
+        cell_other=view(F.col("branch") == "other"),
+        cellfree=view(F.col("branch") == "cellfree"),
+    )
 
 
 # ---------------------------------------------------------------------------
@@ -155,12 +187,7 @@ def experiment_table(inputs: ScreeningInputs, endpoints: DataFrame | None = None
 
 
 def selected_endpoint_ids(eps: EndpointSets) -> DataFrame:
-    return (
-        eps.cell_viability.select("aeid")
-        .unionByName(eps.cell_other.select("aeid"))
-        .unionByName(eps.cellfree.select("aeid"))
-        .distinct()
-    )
+    return eps.tagged.filter(F.col("branch").isNotNull()).select("aeid")
 
 
 # ---------------------------------------------------------------------------
