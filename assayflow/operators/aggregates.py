@@ -80,3 +80,76 @@ def distinct_values(
 def joined_distinct(value: str, sep: str = K.LIST_SEPARATOR) -> Column:
     """Distinct non-null values of a group, sorted and joined (empty string if none)."""
     return F.array_join(F.array_sort(F.collect_set(col(value).cast("string"))), sep)
+
+
+def exact_median(
+    df: DataFrame, keys: Sequence[str], value: str, out: str = "median", partitions: int | None = None
+) -> DataFrame:
+    """Exact interpolating median of ``value`` per group, without holding a group in one task.
+
+    ``F.median`` merges a group's distinct values in one task; a group holding
+    a large share of all rows would not fit. Here:
+
+    1. (group, value) pairs are counted (partial aggregation; a hot group is
+       spread by value);
+    2. the pairs are range-partitioned on (group, value), so a hot group spans
+       several partitions, and each pair gets its cumulative count inside its
+       (partition, group) slice;
+    3. slice totals (one row per partition a group touches, so bounded by the
+       partition count per group) give each slice's offset and the group size;
+    4. the one or two pairs covering the middle ranks give the median,
+       interpolated as ``lo + (hi - lo) * frac`` like Spark's percentile.
+
+    Null values are ignored; groups without values are absent (join with
+    ``null_safe`` keys for a left result).
+    """
+    from pyspark.sql import Window
+
+    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    k = [col(c) for c in keys]
+    v = col(value)
+    pairs = df.filter(v.isNotNull()).groupBy(*k, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+    ranged = pairs.repartitionByRange(n_parts, *[F.col(f"`{c}`") for c in keys], F.col("__v")).withColumn(
+        "__p", F.spark_partition_id()
+    )
+    slice_w = Window.partitionBy("__p", *keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = ranged.withColumn("__cum", F.sum("__c").over(slice_w))
+    totals = ranked.groupBy("__p", *keys).agg(F.max("__cum").alias("__t"))
+    before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*keys)
+    offsets = totals.select(
+        F.col("__p").alias("__op"),
+        *[col(c).alias(f"__k{i}") for i, c in enumerate(keys)],
+        F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off"),
+        F.sum("__t").over(whole).alias("__n"),
+    )
+    cond = [F.col("__p") == F.col("__op")] + [col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(keys)]
+    joined = ranked.join(offsets, cond).select(*k, "__v", "__c", "__cum", "__off", "__n")
+    hi = F.col("__off") + F.col("__cum")
+    lo = hi - F.col("__c") + 1
+    pos = (F.col("__n") - 1).cast("double") * F.lit(0.5)
+    k1 = F.floor(pos) + 1
+    k2 = F.ceil(pos) + 1
+    picked = joined.filter(((lo <= k1) & (hi >= k1)) | ((lo <= k2) & (hi >= k2)))
+    mid = picked.groupBy(*k).agg(
+        F.max(F.when((lo <= k1) & (hi >= k1), F.col("__v"))).alias("__lo"),
+        F.max(F.when((lo <= k2) & (hi >= k2), F.col("__v"))).alias("__hi"),
+        F.first(pos).alias("__pos"),
+    )
+    frac = F.col("__pos") - F.floor(F.col("__pos"))
+    return mid.select(*k, (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac).alias(out))
+
+
+def hit_stats_skew_safe(
+    df: DataFrame,
+    keys: Sequence[str],
+    hit: str = "hitcall",
+    ac50: str = "ac50",
+    median_name: str = "cytotox_median_ac50",
+) -> DataFrame:
+    """``hit_stats`` with the median from ``exact_median`` (no group is ever held by one task)."""
+    counts = df.groupBy(*[col(c) for c in keys]).agg(row_count().alias("ntested"), nonnull_sum(hit).alias("nhit"))
+    med = exact_median(df.filter(col(hit) == 1), keys, ac50, "__m")
+    med = med.select(*[col(c).alias(f"__k{i}") for i, c in enumerate(keys)], "__m")
+    cond = [col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(keys)]
+    return counts.join(med, cond, "left").select(*[col(c) for c in keys], "ntested", "nhit", F.col("__m").alias(median_name))

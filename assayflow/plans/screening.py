@@ -201,12 +201,24 @@ def viability_results(exp: DataFrame, cell_viability: DataFrame) -> DataFrame:
     return v.withColumn("hitcall", rules.hit_flag("hitcall"))
 
 
+# Exact medians per group through ``aggregates.exact_median`` (range-partitioned
+# ranks) instead of one task merging each group's values: a compound tested in
+# a large share of all viability wells then never lands on a single task.
+SKEW_SAFE_MEDIAN = True
+
+
+def _stats(viability: DataFrame, keys: list[str]) -> DataFrame:
+    if SKEW_SAFE_MEDIAN:
+        return agg.hit_stats_skew_safe(viability, keys)
+    return agg.hit_stats(viability, keys)
+
+
 def hit_stats_by_cell(viability: DataFrame) -> DataFrame:
-    return agg.hit_stats(viability, ["chid", "cell_short_name"])
+    return _stats(viability, ["chid", "cell_short_name"])
 
 
 def hit_stats_by_tissue(viability: DataFrame) -> DataFrame:
-    return agg.hit_stats(viability, ["tissue", "chid"])
+    return _stats(viability, ["tissue", "chid"])
 
 
 def cytotox_estimate(cell_results: DataFrame, by_cell: DataFrame, by_tissue: DataFrame) -> DataFrame:

@@ -1,0 +1,8 @@
+"""No streaming operators.
+
+The screening workflow reads bounded files and database tables only; it has
+no watermarks, windows or stateful operators. Every plan in
+``assayflow.plans`` is a batch DataFrame plan. A caller that receives new fit
+results continuously can run ``plans.screening.build`` inside a
+``foreachBatch`` of its own, as the plans take and return DataFrames.
+"""

@@ -82,3 +82,28 @@ def test_vote_drops_null_keys(spark):
 def test_hit_flag_null_stays_null(spark):
     df = spark.createDataFrame([(None,), (0.95,)], "h double")
     assert [r[0] for r in df.select(rules.hit_flag(F.col("h"))).collect()] == [None, 1]
+
+
+def test_exact_median_matches_builtin_with_a_hot_group(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [("hot", None, float(rnd.randint(0, 300))) for _ in range(4000)]
+    rows += [(f"g{i % 20}", "x" if i % 3 else None, float(rnd.randint(0, 40))) for i in range(600)]
+    rows += [("odd", "y", 1.0), ("odd", "y", 2.0), ("odd", "y", 9.0), ("even", "y", 1.0), ("even", "y", 4.0)]
+    rows += [("nullv", "z", None)]
+    df = spark.createDataFrame(rows, "g string, c string, v double")
+    expect = {
+        (r.g, r.c): r.m for r in df.groupBy("g", "c").agg(F.median("v").alias("m")).collect() if r.m is not None
+    }
+    got = {(r.g, r.c): r.m for r in agg.exact_median(df, ["g", "c"], "v", "m", partitions=6).collect()}
+    assert got == expect
+    assert got[("odd", "y")] == 2.0 and got[("even", "y")] == 2.5
+
+
+def test_skew_safe_hit_stats_keeps_groups_without_hits(spark):
+    df = spark.createDataFrame(
+        [(1, "x", 1, 4.0), (1, "x", 1, 1.0), (1, "x", 0, 9.0), (2, None, 0, 3.0)], "chid long, cell string, hitcall long, ac50 double"
+    )
+    out = {(r.chid, r.cell): (r.ntested, r.nhit, r.cytotox_median_ac50) for r in agg.hit_stats_skew_safe(df, ["chid", "cell"]).collect()}
+    assert out == {(1, "x"): (3, 2, 2.5), (2, None): (1, 0, None)}
