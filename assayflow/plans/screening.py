@@ -377,3 +377,34 @@ def build(inputs: ScreeningInputs, materialize=None) -> ScreeningOutputs:
         cellfree_assay_hits=cellfree_hits(cellfree),
         cytotox_hits=cytotox_hits(proc),
     )
+
+
+# File stem and format of each output, as the screening workflow writes them.
+OUTPUT_FILES = {
+    "cell_binary": ("toxcast_cellbased_binary", "parquet"),
+    "cellfree_binary": ("toxcast_cellfree_binary", "parquet"),
+    "cytotox_binary": ("toxcast_cytotox_binary", "parquet"),
+    "cell_assay_info": ("toxcast_cellbased_assay_info", "csv"),
+    "cellfree_assay_info": ("toxcast_cellfree_assay_info", "csv"),
+    "cell_assay_hits": ("toxcast_cellbased_assay_hits", "parquet"),
+    "cellfree_assay_hits": ("toxcast_cellfree_assay_hits", "parquet"),
+    "cytotox_hits": ("toxcast_cytotox_assay_hits", "parquet"),
+}
+
+
+def write_all(inputs: ScreeningInputs, folder: str) -> dict[str, str]:
+    """Build and write all eight outputs under ``folder``.
+
+    The experiment table, read by every branch, is written once to the
+    shared checkpoint folder (``cut_lineage``) so the eight writes do not
+    each redo the fact-to-fact joins; a lost executor re-reads it instead of
+    recomputing it.
+    """
+    from assayflow.session import cut_lineage
+    from assayflow.sinks.files import save_table
+
+    out = build(inputs, materialize=cut_lineage)
+    written = {}
+    for name, (stem, fmt) in OUTPUT_FILES.items():
+        written[name] = save_table(getattr(out, name), f"{folder.rstrip('/')}/{stem}", fmt)[0]
+    return written

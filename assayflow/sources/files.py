@@ -101,10 +101,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     session's default parallelism) partitions, the rows are round-robined out
     once; with enough splits (any large input) the scan is returned unchanged.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as it is
+        return df
+    return df.repartition(target) if current < target else df
 
 
 def require_nonempty(df: DataFrame) -> DataFrame:

@@ -29,3 +29,15 @@ def test_small_queries_run(spark):
     qs = entry.queries()
     for name in ["chunk_ids", "annotate_compounds", "standardize_augment", "fingerprint_invalid", "union_aligned"]:
         assert qs[name](spark, SMOKE).count() >= 0
+
+
+def test_write_all_outputs(spark, tmp_dir):
+    from assayflow.plans import screening as S
+    from assayflow.sources.bindings import Tables
+
+    written = S.write_all(S.ScreeningInputs.from_tables(Tables(spark, SMOKE)), tmp_dir)
+    assert len(written) == 8
+    hits = spark.read.parquet(written["cell_assay_hits"])
+    assert hits.columns[0] == "dsstox_substance_id" and hits.count() > 0
+    info = spark.read.option("header", True).csv(written["cell_assay_info"])
+    assert info.count() > 0
