@@ -20,6 +20,7 @@ from assayflow.operators import joins
 from assayflow.operators.matrix import balanced_labels
 from assayflow.plans import annotate, bitvectors, chunks, compounds
 from assayflow.plans import screening as S
+from assayflow.session import cut_lineage
 from assayflow.sources.bindings import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,7 +43,10 @@ class _Screen:
         self.tables = Tables(spark, folder)
         self.inputs = S.ScreeningInputs.from_tables(self.tables)
         self.eps = S.endpoint_metadata(self.inputs)
-        self.exp = S.experiment_table(self.inputs, S.selected_endpoint_ids(self.eps) if restrict else None)
+        exp = S.experiment_table(self.inputs, S.selected_endpoint_ids(self.eps) if restrict else None)
+        # Every branch reads the fits: write them once to the shared checkpoint folder
+        # rather than repeating the fact-to-fact joins in each branch of the plan.
+        self.exp = cut_lineage(exp)
 
     def viability(self) -> DataFrame:
         return S.viability_results(self.exp, self.eps.cell_viability)

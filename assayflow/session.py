@@ -25,6 +25,8 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpoint files once the DataFrames that wrote them are gone.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
