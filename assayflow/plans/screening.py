@@ -138,9 +138,15 @@ def endpoint_branches(inputs: ScreeningInputs) -> DataFrame:
     return select_ordered(meta, [*K.ENDPOINT_COLUMNS, "is_cell"]).withColumn("branch", branch)
 
 
-def endpoint_metadata(inputs: ScreeningInputs) -> EndpointSets:
-    """Joined endpoint metadata per branch, in the fixed column order (views of one tagged table)."""
+def endpoint_metadata(inputs: ScreeningInputs, materialize=None) -> EndpointSets:
+    """Joined endpoint metadata per branch, in the fixed column order (views of one tagged table).
+
+    ``materialize`` (e.g. ``session.cut_lineage``) writes the tagged table once,
+    so the branches that read it do not each re-derive it from the three tables.
+    """
     tagged = endpoint_branches(inputs)
+    if materialize is not None:
+        tagged = materialize(tagged)
 
     def view(cond) -> DataFrame:
         return tagged.filter(cond).select(*K.ENDPOINT_COLUMNS)
@@ -356,7 +362,7 @@ class ScreeningOutputs:
 def build(inputs: ScreeningInputs, materialize=None) -> ScreeningOutputs:
     """All eight outputs. ``materialize`` (e.g. ``session.cut_lineage``) is applied to
     the experiment table, which every branch reads."""
-    eps = endpoint_metadata(inputs)
+    eps = endpoint_metadata(inputs, materialize)
     exp = experiment_table(inputs, selected_endpoint_ids(eps))
     if materialize is not None:
         exp = materialize(exp)

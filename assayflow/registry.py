@@ -42,7 +42,7 @@ class _Screen:
     def __init__(self, spark: SparkSession, folder: str, restrict: bool = True):
         self.tables = Tables(spark, folder)
         self.inputs = S.ScreeningInputs.from_tables(self.tables)
-        self.eps = S.endpoint_metadata(self.inputs)
+        self.eps = S.endpoint_metadata(self.inputs, materialize=cut_lineage)
         exp = S.experiment_table(self.inputs, S.selected_endpoint_ids(self.eps) if restrict else None)
         # Every branch reads the fits: write them once to the shared checkpoint folder
         # rather than repeating the fact-to-fact joins in each branch of the plan.
