@@ -59,23 +59,30 @@ def local_session(
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any."""
-    current = spark.sparkContext.getCheckpointDir()
-    if current:
-        return current
-    return spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        current = spark.sparkContext.getCheckpointDir()
+    except Exception:  # no SparkContext on this client (e.g. Spark Connect)
+        current = None
+    return current or spark.conf.get("spark.checkpoint.dir", None)
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the session's checkpoint folder; only a local session without one gets a scratch folder."""
     current = checkpoint_dir(spark)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server applies spark.checkpoint.dir itself
+        if current:
+            return current
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder")
     if current:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(current)
+        if not sc.getCheckpointDir():
+            sc.setCheckpointDir(current)
         return current
-    if not spark.sparkContext.master.startswith("local"):
+    if not sc.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
     folder = tempfile.mkdtemp(prefix="assayflow-ckpt-")
-    spark.sparkContext.setCheckpointDir(folder)
+    sc.setCheckpointDir(folder)
     return folder
 
 
