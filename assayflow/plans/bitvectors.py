@@ -53,6 +53,11 @@ def write_bit_tables(
     """Write ``stem_fingerprints`` (wide ``morgan_<i>`` columns) and, if any, ``stem_invalid_smiles.csv``."""
     tables = bit_tables(df, radius, n_bits)
     valid = fp.widen(tables.valid, "fingerprint", n_bits)
-    save_table(valid, f"{stem}_fingerprints", fmt)
-    write_if_any(tables.invalid, f"{stem}_invalid_smiles.csv")
-    return {"valid": tables.valid.count(), "invalid": tables.invalid.count()}
+    paths = save_table(valid, f"{stem}_fingerprints", fmt)
+    wrote_invalid = write_if_any(tables.invalid, f"{stem}_invalid_smiles.csv")
+    # Counts come from the written files, not from hashing the texts again.
+    spark = df.sparkSession
+    first = paths[0]
+    written = spark.read.parquet(first) if first.endswith(".parquet") else spark.read.option("header", True).csv(first)
+    invalid = spark.read.option("header", True).csv(f"{stem}_invalid_smiles.csv").count() if wrote_invalid else 0
+    return {"valid": written.count(), "invalid": invalid}

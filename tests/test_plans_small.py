@@ -27,3 +27,15 @@ def test_annotate_keeps_unmatched_with_null_counts(spark):
     out = {r.INCHIKEY: r for r in annotate.annotate(compounds, targets, keys).collect()}
     assert (out["K1"].target_count, out["K1"].targets, out["K1"].DTXSID) == (3, "t1, t2, t3", "D1, D3")
     assert out["K9"].target_count is None and out["K9"].targets is None
+
+
+def test_write_bit_tables_counts_from_outputs(spark, tmp_dir):
+    import os
+
+    from assayflow.plans.bitvectors import write_bit_tables
+
+    df = spark.createDataFrame([(1, "a b"), (2, "  "), (3, "c")], "DTXSID long, SMILES string")
+    stem = os.path.join(tmp_dir, "x")
+    assert write_bit_tables(df, stem, "both", n_bits=16) == {"valid": 2, "invalid": 1}
+    wide = spark.read.parquet(f"{stem}_fingerprints.parquet")
+    assert wide.columns[:3] == ["standardized_smiles", "DTXSID", "valid_mol"] and "morgan_15" in wide.columns
