@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import language_id
+from . import bpe, language_id, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,8 +19,32 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_duplicates(_table(spark, folder, "documents"))
+
+
+def word_bpe_path() -> str:
+    """The tokenizer file that the token queries use, as installed on every node."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    path = word_bpe_path()
+    encoded = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), path)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op3_simhash": op3_simhash,
+    "op4_bpe": op4_bpe,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
