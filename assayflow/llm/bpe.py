@@ -90,7 +90,7 @@ class Bpe:
         return out
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
-        codes = (left << 16) | right
+        codes = (left.astype(np.int64) << 16) | right
         at = np.searchsorted(self.codes, codes)
         at[at == len(self.codes)] = 0
         return np.where(self.codes[at] == codes, self.code_ranks[at], -1)
@@ -102,11 +102,11 @@ class Bpe:
         lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
         data = np.frombuffer(b"".join(pieces), np.uint8)
         n, ends = len(data), np.cumsum(lengths)
-        symbols = np.append(self.inner[data], _EDGE)
+        symbols = np.append(self.inner[data], _EDGE).astype(np.int32)
         symbols[ends - 1] = self.last[data[ends - 1]]
-        after = np.arange(1, n + 2)
+        after = np.arange(1, n + 2, dtype=np.int32)
         after[ends - 1] = n
-        before = np.arange(-1, n)
+        before = np.arange(-1, n, dtype=np.int32)
         before[ends - lengths] = n
         index: dict[int, list[np.ndarray]] = {}
         active: list[int] = []
@@ -127,7 +127,7 @@ class Bpe:
                     heapq.heappush(active, rank)
                 index[rank].append(positions[a:b])
 
-        note(np.flatnonzero(after[:n] < n))
+        note(np.flatnonzero(after[:n] < n).astype(np.int32))
         while active:
             rank = heapq.heappop(active)
             lists = index.pop(rank)
@@ -209,21 +209,26 @@ def _schema(df: DataFrame, extra: str) -> str:
     return ", ".join([*kept, extra])
 
 
-def encode(docs: DataFrame, path: str, text: str = "text") -> DataFrame:
-    """The rows with ``ids`` (little-endian unsigned 32-bit integers) in place of the text."""
-    source = docs.select(*[c for c in docs.columns if c not in ("ids", text)], F.col(text).alias("__text"))
+def encode(docs: DataFrame, path: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """The rows with ``ids`` (little-endian unsigned 32-bit integers) in place of the text.
+
+    ``decoded=True`` adds what ``decode`` makes of these ids, in the same task."""
+    source = docs.select(*[c for c in docs.columns if c not in ("ids", "decoded", text)], F.col(text).alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             others = [i for i, name in enumerate(batch.schema.names) if name != "__text"]
+            names = [batch.schema.names[i] for i in others]
             for block, ids, at in _table(path).ids(batch.column("__text")):
                 part = batch.slice(block.first, len(block))
+                made = [_binary(ids.astype("<u4").view(np.uint8), at * 4, pa.binary())]
+                if decoded:
+                    made.append(_binary(*load(path).decode(ids.astype(np.int64), at), pa.string()))
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(i) for i in others], _binary(ids.astype("<u4").view(np.uint8), at * 4, pa.binary())],
-                    [*[batch.schema.names[i] for i in others], "ids"],
+                    [*[part.column(i) for i in others], *made], [*names, "ids", *["decoded"] * decoded]
                 )
 
-    return source.mapInArrow(run, _schema(source.drop("__text"), "ids binary"))
+    return source.mapInArrow(run, _schema(source.drop("__text"), "ids binary" + ", decoded string" * decoded))
 
 
 def decode(rows: DataFrame, path: str, ids: str = "ids") -> DataFrame:

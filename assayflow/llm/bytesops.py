@@ -71,11 +71,16 @@ def lower_ascii(data: np.ndarray) -> np.ndarray:
     return _LOWER[data]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of bytes other than ASCII white space: starts, ends, and ``len + 1`` word offsets by document."""
+def words(data: np.ndarray, offsets: np.ndarray, cut: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of bytes other than ASCII white space: starts, ends, and ``len + 1`` word offsets by document.
+
+    ``cut[i]`` (``i`` from 1) also ends a run before byte i."""
     solid = ~_SPACE[data]
     before, after = np.zeros_like(solid), np.zeros_like(solid)
     before[1:], after[:-1] = solid[:-1], solid[1:]
+    if cut is not None:
+        before &= ~cut
+        after[:-1] &= ~cut[1:]
     inner = offsets[1:-1]
     inner = inner[(inner > 0) & (inner < len(data))]
     before[inner] = False

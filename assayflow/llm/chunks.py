@@ -4,6 +4,10 @@ A tokenizer that splits at white space and drops it gives a text the ids of its
 runs, one after the other. So each distinct run of a batch is encoded once and
 the ids of a text are gathered with array operations. The table of runs is kept
 in the worker between batches, up to ``MAX_RUNS`` entries.
+
+Runs are also cut between an ASCII letter and a plain punctuation mark, where
+tokenizers of this kind (words are letters alone, lower-cased) always cut, and
+ASCII letters are lowered first unless a special token may stand in the block.
 """
 
 from __future__ import annotations
@@ -15,7 +19,20 @@ import pyarrow as pa
 
 from .bytesops import Block, blocks, ragged, word_hashes, words
 
-MAX_RUNS = 600_000
+MAX_RUNS = 800_000
+GROUP_BYTES = 12 << 20
+
+# Marks that neither compose with a letter, nor start a contraction or a special token.
+_KIND = np.zeros(256, np.uint8)
+_KIND[65:91] = _KIND[97:123] = 1
+_KIND[list(b'!"#$%&()*+,-./:;?@[]{}~')] = 2
+
+
+def _cuts(data: np.ndarray) -> np.ndarray:
+    kind = _KIND[data]
+    cut = np.zeros(len(data), bool)
+    cut[1:] = (kind[1:] | kind[:-1]) == 3
+    return cut
 
 
 class RunTable:
@@ -27,9 +44,9 @@ class RunTable:
 
     def _clear(self) -> None:
         self.hashes = np.zeros(0, np.uint64)
-        self.slots = np.zeros(0, np.int64)
+        self.slots = np.zeros(0, np.int32)
         self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int32)
         self.flat = np.zeros(0, np.uint32)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
@@ -42,23 +59,36 @@ class RunTable:
     def _learn(self, hashes: np.ndarray, runs: list[bytes]) -> None:
         flat, lengths = self.encode(runs)
         starts = len(self.flat) + np.cumsum(lengths) - lengths
-        slots = len(self.lengths) + np.arange(len(runs))
+        slots = np.arange(len(self.lengths), len(self.lengths) + len(runs), dtype=np.int32)
         self.flat = np.concatenate([self.flat, flat.astype(np.uint32)])
-        self.starts, self.lengths = np.concatenate([self.starts, starts]), np.concatenate([self.lengths, lengths])
+        self.starts = np.concatenate([self.starts, starts])
+        self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
         merged = np.concatenate([self.hashes, hashes])
         order = np.argsort(merged, kind="stable")
         self.hashes, self.slots = merged[order], np.concatenate([self.slots, slots])[order]
 
     def ids(self, column: pa.Array) -> Iterator[tuple[Block, np.ndarray, np.ndarray]]:
         """For each block of the column: the ids of its documents in a row, and ``len + 1`` offsets into them."""
+        group: list[Block] = []
+        for block in blocks(column):
+            group.append(block)
+            if sum(len(x.data) for x in group) >= GROUP_BYTES:
+                yield from self._ids(group)
+                group = []
+        yield from self._ids(group)
+
+    def _ids(self, group: list[Block]) -> Iterator[tuple[Block, np.ndarray, np.ndarray]]:
         if len(self.hashes) > MAX_RUNS:
             self._clear()
         kept, new_hashes, new_runs = [], [], []
-        for block in blocks(column):
-            starts, ends, at = words(block.data, block.offsets)
-            unique, first, inverse = np.unique(word_hashes(block.data, starts, ends), return_index=True, return_inverse=True)
-            unseen = np.flatnonzero(self._find(unique) < 0)
+        for block in group:
             raw = block.data.tobytes()
+            if b"<|" not in raw:
+                raw = raw.lower()
+            data = np.frombuffer(raw, np.uint8)
+            starts, ends, at = words(data, block.offsets, _cuts(data))
+            unique, first, inverse = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
+            unseen = np.flatnonzero(self._find(unique) < 0)
             new_hashes.append(unique[unseen])
             new_runs += [raw[a:b] for a, b in zip(starts[first[unseen]].tolist(), ends[first[unseen]].tolist(), strict=True)]
             kept.append((block, unique, inverse.astype(np.int32), at))
@@ -68,7 +98,7 @@ class RunTable:
         for block, unique, inverse, at in kept:
             slots = self._find(unique)[inverse]
             lengths = self.lengths[slots]
-            ends = np.concatenate([[0], np.cumsum(lengths)])
+            ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
             yield block, self.flat[ragged(self.starts[slots], lengths)], ends[at]
 
 

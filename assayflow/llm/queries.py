@@ -31,9 +31,8 @@ def word_bpe_path() -> str:
 
 
 def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
-    path = word_bpe_path()
-    encoded = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), path)
-    return bpe.decode(encoded, path).select(
+    rows = bpe.encode(_table(spark, folder, "documents").select("doc_id", "text"), word_bpe_path(), decoded=True)
+    return rows.select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
