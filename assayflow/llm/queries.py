@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language_id, simhash
+from . import bpe, language_id, lm_scoring, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,10 +40,18 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    docs = docs.withColumn("held_out", language_id.held_out(F.col("doc_id"), 7, 2))
+    model = lm_scoring.train(docs.where(~F.col("held_out")))
+    return lm_scoring.score(docs, model)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
+    "op9_lm_scoring": op9_lm_scoring,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
