@@ -19,7 +19,7 @@ import pyarrow as pa
 
 from .bytesops import Block, blocks, ragged, word_hashes, words
 
-MAX_RUNS = 800_000
+MAX_RUNS = 1_500_000
 GROUP_BYTES = 12 << 20
 
 # Marks that neither compose with a letter, nor start a contraction or a special token.
@@ -36,36 +36,62 @@ def _cuts(data: np.ndarray) -> np.ndarray:
 
 
 class RunTable:
-    """Ids of the runs seen so far. ``encode`` maps a list of runs to their ids in a row and the number for each."""
+    """Ids of the runs seen so far. ``encode`` maps a list of runs to their ids in a row and the number for each.
+
+    A run is found by its hash: ``cells`` has the slot of a hash at one of two places that
+    the hash names, the few runs that found both taken are in a sorted overflow."""
+
+    BITS = 22
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
         self._clear()
 
     def _clear(self) -> None:
-        self.hashes = np.zeros(0, np.uint64)
-        self.slots = np.zeros(0, np.int32)
-        self.starts = np.zeros(0, np.int64)
-        self.lengths = np.zeros(0, np.int32)
+        self.cells = np.zeros(1 << self.BITS, np.int32)  # slot 0 is no run
+        self.hashes = np.zeros(1, np.uint64)
+        self.starts = np.zeros(1, np.int64)
+        self.lengths = np.zeros(1, np.int32)
         self.flat = np.zeros(0, np.uint32)
+        self.over, self.over_slots = np.zeros(0, np.uint64), np.zeros(0, np.int32)
+
+    def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        first = hashes >> np.uint64(64 - self.BITS)
+        return first, (hashes >> np.uint64(8)) & np.uint64((1 << self.BITS) - 1)
 
     def _find(self, hashes: np.ndarray) -> np.ndarray:
-        at = np.searchsorted(self.hashes, hashes)
-        at[at == len(self.hashes)] = 0
-        if not len(self.hashes):
-            return np.full(len(hashes), -1)
-        return np.where(self.hashes[at] == hashes, self.slots[at], -1)
+        """Slots of the hashes; 0 where a hash is not known (or is 0)."""
+        first, second = self._places(hashes)
+        slots = self.cells[first]
+        open_ = np.flatnonzero(self.hashes[slots] != hashes)
+        again = self.cells[second[open_]]
+        again[self.hashes[again] != hashes[open_]] = 0
+        if len(self.over):
+            left = np.flatnonzero(again == 0)
+            own = hashes[open_[left]]
+            at = np.searchsorted(self.over, own)
+            at[at == len(self.over)] = 0
+            again[left] = np.where(self.over[at] == own, self.over_slots[at], 0)
+        slots[open_] = again
+        return slots
 
     def _learn(self, hashes: np.ndarray, runs: list[bytes]) -> None:
         flat, lengths = self.encode(runs)
         starts = len(self.flat) + np.cumsum(lengths) - lengths
-        slots = np.arange(len(self.lengths), len(self.lengths) + len(runs), dtype=np.int32)
+        slots = np.arange(len(self.hashes), len(self.hashes) + len(runs), dtype=np.int32)
         self.flat = np.concatenate([self.flat, flat.astype(np.uint32)])
+        self.hashes = np.concatenate([self.hashes, hashes])
         self.starts = np.concatenate([self.starts, starts])
         self.lengths = np.concatenate([self.lengths, lengths.astype(np.int32)])
-        merged = np.concatenate([self.hashes, hashes])
+        for way in (0, 1):
+            places = self._places(hashes)[way]
+            free = np.flatnonzero(self.cells[places] == 0)
+            self.cells[places[free]] = slots[free]  # of several at one place the last stays
+            left = self.cells[places] != slots
+            hashes, slots = hashes[left], slots[left]
+        merged = np.concatenate([self.over, hashes])
         order = np.argsort(merged, kind="stable")
-        self.hashes, self.slots = merged[order], np.concatenate([self.slots, slots])[order]
+        self.over, self.over_slots = merged[order], np.concatenate([self.over_slots, slots])[order]
 
     def ids(self, column: pa.Array) -> Iterator[tuple[Block, np.ndarray, np.ndarray]]:
         """For each block of the column: the ids of its documents in a row, and ``len + 1`` offsets into them."""
@@ -87,16 +113,18 @@ class RunTable:
                 raw = raw.lower()
             data = np.frombuffer(raw, np.uint8)
             starts, ends, at = words(data, block.offsets, _cuts(data))
-            unique, first, inverse = np.unique(word_hashes(data, starts, ends), return_index=True, return_inverse=True)
-            unseen = np.flatnonzero(self._find(unique) < 0)
-            new_hashes.append(unique[unseen])
-            new_runs += [raw[a:b] for a, b in zip(starts[first[unseen]].tolist(), ends[first[unseen]].tolist(), strict=True)]
-            kept.append((block, unique, inverse.astype(np.int32), at))
+            hashes = word_hashes(data, starts, ends)
+            unseen = np.flatnonzero(self._find(hashes) == 0)
+            unique, first = np.unique(hashes[unseen], return_index=True)
+            first = unseen[first]
+            new_hashes.append(unique)
+            new_runs += [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist(), strict=True)]
+            kept.append((block, hashes, at))
         if new_runs:
             unique, first = np.unique(np.concatenate(new_hashes), return_index=True)
             self._learn(unique, [new_runs[i] for i in first.tolist()])
-        for block, unique, inverse, at in kept:
-            slots = self._find(unique)[inverse]
+        for block, hashes, at in kept:
+            slots = self._find(hashes)
             lengths = self.lengths[slots]
             ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
             yield block, self.flat[ragged(self.starts[slots], lengths)], ends[at]

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language_id, lm_scoring, simhash
+from . import bpe, language_id, lm_scoring, packing, simhash
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -40,6 +40,10 @@ def op4_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(_table(spark, folder, "documents"), word_bpe_path())
+
+
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", language_id.held_out(F.col("doc_id"), 7, 2))
@@ -51,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
+    "op5_packing": op5_packing,
     "op9_lm_scoring": op9_lm_scoring,
 }
 
