@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language_id, lm_scoring, packing, simhash
+from . import bpe, language_id, lm_scoring, packing, simhash, token_output
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -51,12 +51,21 @@ def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_scoring.score(docs, model)
 
 
+ORDER_KEY = 20_240_229
+
+
+def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return token_output.materialise(docs, word_bpe_path(), ORDER_KEY).drop("file")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op5_packing": op5_packing,
     "op9_lm_scoring": op9_lm_scoring,
+    "op10_token_output": op10_token_output,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
