@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language_id, lm_scoring, packing, simhash, token_output
+from . import bpe, language_id, lm_scoring, packing, sharding, simhash, token_output
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,6 +44,14 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), word_bpe_path())
 
 
+SHARD_BYTES = 1 << 20
+
+
+def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents").select("doc_id", "text")
+    return sharding.assign(docs, SHARD_BYTES).select("doc_id", "bytes", "depth", "prefix", "part")
+
+
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", language_id.held_out(F.col("doc_id"), 7, 2))
@@ -64,9 +72,34 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op5_packing": op5_packing,
+    "op7_sharding": op7_sharding,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_output": op10_token_output,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op7_sharding": f"""
+        WITH hashed AS (
+            SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
+                   CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || coalesce(text, '')), 1, 15) AS BIGINT) AS bits
+            FROM documents
+        ), keys AS (
+            SELECT bits, count(*) AS n, sum(bytes) AS bytes FROM hashed GROUP BY bits
+        ), nodes AS (
+            SELECT d, bits >> (60 - d) AS p, sum(n) AS n, sum(bytes) AS bytes
+            FROM keys, range(0, 61) AS depths(d) GROUP BY d, bits >> (60 - d)
+        ), depths AS (
+            SELECT k.bits, count(*) FILTER (WHERE o.bytes > {SHARD_BYTES} AND o.n > 1) AS depth
+            FROM keys k, range(0, 61) AS depths(d), nodes o
+            WHERE o.d = depths.d AND o.p = k.bits >> (60 - depths.d) GROUP BY k.bits
+        ), ranked AS (
+            SELECT h.*, depth, row_number() OVER (PARTITION BY h.bits) - 1 AS copy
+            FROM hashed h JOIN depths USING (bits)
+        )
+        SELECT doc_id, CAST(bytes AS BIGINT) AS bytes, CAST(least(depth, 60) AS INTEGER) AS depth,
+               bits >> CAST(60 - least(depth, 60) AS BIGINT) AS prefix,
+               CASE WHEN depth > 60 THEN copy // greatest(1, {SHARD_BYTES} // greatest(bytes, 1)) ELSE 0 END AS part
+        FROM ranked
+    """,
+}
