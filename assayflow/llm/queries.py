@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, language_id, lm_scoring, packing, sharding, simhash, token_output
+from . import bpe, embed_dedup, language_id, lm_scoring, packing, sharding, simhash, token_output, topk
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -44,6 +44,10 @@ def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(_table(spark, folder, "documents"), word_bpe_path())
 
 
+def op6_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embed_dedup.near_duplicates(_table(spark, folder, "embeddings"))
+
+
 SHARD_BYTES = 1 << 20
 
 
@@ -52,6 +56,10 @@ def op7_sharding(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.assign(docs, SHARD_BYTES).select("doc_id", "bytes", "depth", "prefix", "part")
 
 
+def op8_top_k(spark: SparkSession, folder: str) -> DataFrame:
+    return topk.top_k(_table(spark, folder, "embeddings"))
+
+
 def op9_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents").select("doc_id", "text")
     docs = docs.withColumn("held_out", language_id.held_out(F.col("doc_id"), 7, 2))
@@ -72,13 +80,32 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op5_packing": op5_packing,
+    "op6_embedding_dedup": op6_embedding_dedup,
     "op7_sharding": op7_sharding,
+    "op8_top_k": op8_top_k,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_output": op10_token_output,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLE: dict[str, str] = {
+    "op8_top_k": """
+        WITH whole AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), one AS (
+            SELECT vec_id, min(v) AS v FROM whole GROUP BY vec_id
+        ), scored AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+            FROM one q JOIN one c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+        )
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
+    """,
     "op7_sharding": f"""
         WITH hashed AS (
             SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
