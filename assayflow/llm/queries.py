@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, embed_dedup, language_id, lm_scoring, packing, sharding, simhash, token_output, topk
+from . import bpe, embed_dedup, language_id, lm_scoring, packing, quality, sharding, simhash, token_output, topk
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -19,6 +19,11 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
+    return quality.classify(docs, labels).select("doc_id", "lang", "n_bytes", "perplexity", "threshold", "keep")
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, folder, "documents"))
 
@@ -77,6 +82,7 @@ def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
+    "op2_quality": op2_quality,
     "op3_simhash": op3_simhash,
     "op4_bpe": op4_bpe,
     "op5_packing": op5_packing,
