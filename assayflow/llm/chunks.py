@@ -19,8 +19,8 @@ import pyarrow as pa
 
 from .bytesops import Block, blocks, ragged, word_hashes, words
 
-MAX_RUNS = 1_500_000
-GROUP_BYTES = 12 << 20
+MAX_RUNS = 600_000
+GROUP_BYTES = 6 << 20
 
 # Marks that neither compose with a letter, nor start a contraction or a special token.
 _KIND = np.zeros(256, np.uint8)
@@ -41,7 +41,7 @@ class RunTable:
     A run is found by its hash: ``cells`` has the slot of a hash at one of two places that
     the hash names, the few runs that found both taken are in a sorted overflow."""
 
-    BITS = 22
+    BITS = 21
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
@@ -146,14 +146,13 @@ def library_table(path: str) -> RunTable:
         tokenizer.no_padding()
 
         def encode(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-            lengths, flat = [], []
-            for at in range(0, len(runs), 4096):
-                texts = [x.decode("utf-8", "replace") for x in runs[at : at + 4096]]
-                for found in tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-                    ids = found.ids
-                    lengths.append(len(ids))
-                    flat += ids
-            return np.array(flat, np.uint32), np.array(lengths, np.int64)
+            lengths, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+            for at in range(0, len(runs), 2048):
+                texts = [x.decode("utf-8", "replace") for x in runs[at : at + 2048]]
+                found = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+                lengths.append(np.array([len(x) for x in found], np.int64))
+                flat.append(np.array([i for x in found for i in x], np.uint32))
+            return np.concatenate(flat), np.concatenate(lengths)
 
         _library_tables[path] = RunTable(encode)
     return _library_tables[path]

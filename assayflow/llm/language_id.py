@@ -42,14 +42,19 @@ def _trigram_counts(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     Texts are padded by a space on either side, so a text of n bytes has n trigrams."""
     lengths = np.diff(block.offsets)
     n, docs = len(block.data), len(block)
-    owner = np.repeat(np.arange(docs), lengths)
+    owner = np.repeat(np.arange(docs, dtype=np.int32), lengths)
     padded = np.full(n + 2 * docs, 32, np.uint8)
     at = np.arange(n) + 2 * owner + 1
     padded[at] = lower_ascii(block.data)
-    wide = padded.astype(np.uint32)
-    code = (wide[at - 1] << 16) | (wide[at] << 8) | wide[at + 1]
-    bucket = (code * np.uint32(0x9E3779B1)) >> np.uint32(32 - 15)
-    keys = (owner.astype(np.uint64) << np.uint64(15)) | bucket
+    code = padded[at - 1].astype(np.uint32) << 16
+    code |= padded[at].astype(np.uint32) << 8
+    code |= padded[at + 1]
+    del at, padded
+    code *= np.uint32(0x9E3779B1)
+    code >>= np.uint32(32 - 15)
+    keys = owner.astype(np.uint64) << np.uint64(15)
+    keys |= code
+    del code, owner
     keys.sort()
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if n else np.zeros(0, np.int64)
     keys_first = keys[first]
@@ -183,8 +188,9 @@ def mixtures(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             letters = batch.column("__letters").to_numpy(zero_copy_only=False).astype(bool)
-            names, scores, mixes = [], [], []
+            kept = [(i, name) for i, name in enumerate(batch.schema.names) if name != "__letters"]
             for block in blocks(batch.column(text)):
+                names, scores, mixes = [], [], []
                 theta = model.proportions(block)
                 theta[~letters[block.first : block.last]] = 0
                 for row in theta:
@@ -192,12 +198,11 @@ def mixtures(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
                     names.append(model.names[order[0]] if order else UNDETERMINED)
                     scores.append(min(1.0, float(row[order[0]])) if order else 0.0)
                     mixes.append(" ".join(f"{model.names[i]}:{row[i]:.4f}" for i in order))
-            columns = [batch.column(i) for i, name in enumerate(batch.schema.names) if name != "__letters"]
-            labels = [name for name in batch.schema.names if name != "__letters"]
-            yield pa.RecordBatch.from_arrays(
-                [*columns, pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(mixes, pa.string())],
-                [*labels, "lang_pred", "score", "lang_mix"],
-            )
+                part = batch.slice(block.first, len(block))
+                yield pa.RecordBatch.from_arrays(
+                    [*[part.column(i) for i, _ in kept], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(mixes, pa.string())],
+                    [*[name for _, name in kept], "lang_pred", "score", "lang_mix"],
+                )
 
     return source.mapInArrow(predict, schema)
 
