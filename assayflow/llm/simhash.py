@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F
 
 from .components import components
+from .rows import PLACE, placed, without
 from .shared import staged
 
 TILE = 8192
@@ -48,17 +49,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * votes > len(hashes), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, fp): the fingerprint of every text as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", key: str = "doc_id", extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, extra columns): the fingerprint of every text as a signed 64-bit integer."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text").cast(pa.large_binary())
             found = np.fromiter((fingerprint(x.as_py() or b"", shingle) for x in column), np.uint64, len(column))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64))], ["doc_id", "fp"])
+            kept = [batch.column(batch.schema.names.index(c)) for c in extra]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found.view(np.int64)), *kept], ["doc_id", "fp", *extra])
 
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *extra)
+    kinds = "".join(f", `{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[2:])
+    return rows.mapInArrow(run, "doc_id long, fp long" + kinds)
 
 
 def _join_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
@@ -141,13 +144,13 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     return met.mapInArrow(compare, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """(doc_id, fingerprint, component_id) for every row of ``docs``; repeated rows stay repeated.
+def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, text: str = "text", key: str = "doc_id", extra: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fingerprint, component_id, extra columns) for every row of ``docs``; repeated rows stay repeated.
 
     ``component_id`` is the smallest id of the rows that links lead to, the row itself
     included. A null or wordless text has fingerprint zero and links like any other; a
     row with a null id is linked, but lends no id (null if its group has none)."""
-    rows = staged(fingerprints(docs, shingle, text, key), "fingerprints")
+    rows = staged(fingerprints(docs, shingle, text, key, extra), "fingerprints")
     classes = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
     roots = components(links(classes.select("fp"), radius))
     rooted = classes.join(roots.select(F.col("node").alias("fp"), "root"), "fp", "left")
@@ -155,5 +158,17 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     firsts = staged(rooted.groupBy("root").agg(F.min("first_id").alias("component_id")), "firsts")
     named = staged(rooted.join(firsts, "root").select("fp", "component_id"), "named")
     return rows.join(named, "fp").select(
-        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id", *extra
     )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """One row of each near-duplicate group: that with the smallest id, the first stored if ids repeat.
+
+    Rows of a group without any id are one for each fingerprint. The texts are not shuffled."""
+    docs = placed(docs)
+    rows = staged(near_duplicates(docs, extra=tuple(PLACE)), "groups")
+    group = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("#"), "fingerprint"))
+    heads = rows.where("component_id is null or doc_id = component_id").groupBy(group.alias("group"))
+    heads = heads.agg(F.min(F.struct(*PLACE)).alias("head")).select("head.*")
+    return without(docs, rows.select(*PLACE).join(heads, PLACE, "left_anti"))

@@ -11,7 +11,7 @@ Blocks of the stated queries meet all blocks of candidates (the work is queries
 rows; nothing is left out). A block is a bounded row, blocks are dealt to slices by hash,
 and nothing but the number of query blocks goes through the driver.
 
-Defined results: a vector that is null, has a null or non-finite component, or whose id
+Defined results: a vector that is null or empty, has a null or non-finite component, or whose id
 is null takes no part; of rows with equal id the smallest vector counts; only vectors of
 equal length are compared; ties go to the smaller id; with fewer than k candidates all
 are returned. Scores beyond 64 bits are cut to that range.
@@ -121,7 +121,7 @@ def best_of_block(query_ids, queries, ids, vectors, low, step, cells, k: int) ->
 def top_k(vectors: DataFrame, k: int = 10, scale: int = 1024, every: int = 100, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k best of all other rows for each row whose id is divisible by ``every``."""
     spark = vectors.sparkSession
-    rows = vectors.where(usable(vector) & F.col(key).isNotNull())
+    rows = vectors.where(usable(vector) & (F.size(vector) > 0) & F.col(key).isNotNull())
     whole = F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
     rows = rows.select(F.col(key).cast("long").alias("id"), whole.alias("v")).groupBy("id").agg(F.min("v").alias("v"))
     rows = staged(rows, "vectors")

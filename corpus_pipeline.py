@@ -34,17 +34,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFra
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of near duplicates: the one with the smallest id.
-
-    Of rows that share that id the first by text, language, source and length stays; a group
-    whose ids are all null goes."""
-    groups = simhash.near_duplicates(docs)
-    kept = staged(groups.where("doc_id = component_id").select("doc_id").distinct(), "kept")
-    first = F.min_by(F.struct(*COLUMNS), F.struct("text", "lang", "source", "n_chars"))
-    rows = docs.select(*COLUMNS).join(kept, "doc_id", "left_semi")
-    again = staged(rows.groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
-    single = rows.join(again, "doc_id", "left_anti")
-    return single.union(rows.join(again, "doc_id").groupBy("doc_id").agg(first.alias("x")).select("x.*"))
+    """One document of each group of near duplicates: the one with the smallest id."""
+    return simhash.one_of_each(docs.select(*COLUMNS))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
