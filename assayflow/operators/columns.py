@@ -59,32 +59,27 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 
 def resolve_column(df: DataFrame, candidates: Sequence[str], label: str) -> str:
-    """First candidate present in ``df``; otherwise an error naming both lists."""
-    for name in candidates:
-        if name in df.columns:
-            return name
-    raise ValueError(f"No {label} column found. Tried: {list(candidates)}. Available columns: {df.columns}")
+    """The candidate that ``df`` has; of several, the one listed earliest."""
+    found = sorted(set(candidates) & set(df.columns), key=list(candidates).index)
+    if not found:
+        raise ValueError(f"{label}: the table has none of the columns {', '.join(candidates)}")
+    return found[0]
 
 
 def keep_present(df: DataFrame, candidates: Sequence[str], first: str | None = None) -> list[str]:
-    """Candidates present in ``df`` in candidate order, with ``first`` put in front if not among them."""
-    kept = [c for c in candidates if c in df.columns]
-    if first is not None and first not in kept:
-        kept = [first] + kept
-    return kept
+    """Candidates that ``df`` has, in their order; ``first`` leads the list unless it is one of them."""
+    own = set(df.columns)
+    lead = [] if first is None or first in own.intersection(candidates) else [first]
+    return [*lead, *filter(own.__contains__, candidates)]
 
 
 def normalize_case_variant(df: DataFrame, canonical: str = "SMILES", variant: str = "smiles") -> DataFrame:
     """Exactly one of ``canonical`` / ``variant`` must exist; rename the variant to the canonical name."""
-    has_canon, has_variant = canonical in df.columns, variant in df.columns
-    if has_canon and has_variant:
-        raise ValueError(f"Input must contain only one column named {canonical}.")
-    if not has_canon and not has_variant:
-        raise ValueError(f"Input must contain a column named {canonical} or {variant}.")
-    if has_variant:
-        # Positional rename: withColumnRenamed would resolve case-insensitively.
-        return df.toDF(*[canonical if c == variant else c for c in df.columns])
-    return df
+    present = [c for c in (canonical, variant) if c in df.columns]
+    if len(present) != 1:
+        raise ValueError(f"expected one of the columns {canonical!r} and {variant!r}, got {present or 'neither'}")
+    # Positional rename: withColumnRenamed would resolve case-insensitively.
+    return df.toDF(*[canonical if c == variant else c for c in df.columns])
 
 
 def union_strict(dfs: Sequence[DataFrame]) -> DataFrame:

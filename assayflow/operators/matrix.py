@@ -1,8 +1,7 @@
 """Long -> wide operators: checked pivots and the class-balance filter.
 
-The long form (id, label, value) is the canonical result. A wide matrix is
-made last, from a label list that is filtered in long form first, so the only
-data that reaches the driver is that bounded label list.
+The long form (id, label, value) is the canonical result, filtered there. A wide
+matrix is made last, from a label list that the caller gives.
 """
 
 from __future__ import annotations
@@ -14,10 +13,6 @@ from pyspark.sql import functions as F
 
 from assayflow import constants as K
 from assayflow.operators.columns import col
-from assayflow.session import cut_lineage
-
-# A wide table with more columns than this is refused (Spark's own pivot limit).
-MAX_PIVOT_VALUES = 10_000
 
 
 def assert_unique(df: DataFrame, keys: Sequence[str]) -> None:
@@ -75,35 +70,26 @@ def balanced_labels(
     )
 
 
-def label_list(labels: DataFrame, label: str) -> list[str]:
-    """Collect a bounded, sorted label list for a pivot; refuse an unbounded one."""
-    rows = labels.select(col(label)).orderBy(col(label)).limit(MAX_PIVOT_VALUES + 1).collect()
-    if len(rows) > MAX_PIVOT_VALUES:
-        raise ValueError(f"more than {MAX_PIVOT_VALUES} labels: keep the long form instead of a wide matrix")
-    return [r[0] for r in rows]
+def binary_rows(long_df: DataFrame, index: str, label: str, value: str, min_count: int = K.MIN_CLASS_COUNT) -> DataFrame:
+    """The 0/1 matrix as rows: a (index, label, value) row for each cell of a balanced label.
 
+    An index value without such a cell has one row with a null label, as it has an empty
+    row in the wide form. Null labels are dropped; two rows for one cell are an error."""
+    base = long_df.filter(col(label).isNotNull())
+    kept = balanced_labels(base, label, value, min_count).select(col(label))
+    cells = base.join(kept, label, "left_semi").groupBy(col(index), col(label))
+    cells = cells.agg(F.first(col(value)).alias("__value"), F.count("*").alias("__n"))
+    checked = F.when(F.col("__n") > 1, F.raise_error(F.lit(f"more than one row for a cell of {label}"))).otherwise(F.col("__value"))
+    cells = cells.select(col(index), col(label), checked.alias(value))
+    return base.select(col(index)).distinct().join(cells, index, "left")
 
-def binary_matrix(
-    long_df: DataFrame,
-    index: str,
-    label: str,
-    value: str,
-    min_count: int = K.MIN_CLASS_COUNT,
-    labels: Sequence[str] | None = None,
-) -> DataFrame:
-    """Wide 0/1 matrix: one row per index value, one column per balanced label.
 
-    Labels are filtered in long form before the pivot; rows of dropped labels
-    still create their index row (all nulls), as filtering the columns of a
-    full pivot would. Null labels are dropped (they would make a column "null").
-    ``long_df`` must have one row per (index, label), e.g. after ``majority_vote``.
-    """
+def binary_matrix(long_df: DataFrame, index: str, label: str, value: str, labels: Sequence[str]) -> DataFrame:
+    """Wide 0/1 matrix: one row per index value, one column for each of the given labels.
+
+    Rows of other labels still create their index row (all nulls). ``long_df`` must have
+    one row per (index, label), e.g. after ``majority_vote``."""
     base = long_df.filter(col(label).isNotNull())
-    if labels is None:
-        # Two jobs read the long form (label list, then pivot): write it once to
-        # the shared checkpoint folder instead of computing its lineage twice.
-        base = cut_lineage(base)
-        labels = label_list(balanced_labels(base, label, value, min_count), label)
     if not labels:
         return base.select(col(index)).distinct()
     return base.groupBy(col(index)).pivot(label, list(labels)).agg(F.first(col(value)))

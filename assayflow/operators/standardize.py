@@ -97,10 +97,12 @@ def standardize(
     if variant != column:
         df = normalize_case_variant(df, column, variant)
     elif column not in df.columns:
-        raise ValueError(f"Input must contain a column named {column}.")
+        raise ValueError(f"no column {column!r} in the table")
     require_nonempty(df)
     if limit_rows is not None:
-        df = head_rows(df, limit_rows, order_by or [column])
+        if not order_by:
+            raise ValueError("limit_rows needs the columns that order the rows (order_by)")
+        df = head_rows(df, limit_rows, order_by)
 
     o_orig, o_std, o_long, o_short = outputs
 

@@ -219,11 +219,10 @@ def _matrix(long_step: str, label: str, value: str, min_count: int = K.MIN_CLASS
         , kept AS (SELECT {label} FROM {long_step} GROUP BY {label}
                    HAVING count(*) FILTER (WHERE {value} = 0) >= {min_count}
                       AND count(*) FILTER (WHERE {value} = 1) >= {min_count})
-        SELECT ids.dsstox_substance_id, p.* EXCLUDE (dsstox_substance_id)
-        FROM (SELECT DISTINCT dsstox_substance_id FROM {long_step}) ids
-        LEFT JOIN (PIVOT (SELECT dsstox_substance_id, {label}, {value} FROM {long_step}
-                          WHERE {label} IN (SELECT {label} FROM kept))
-                   ON {label} USING first({value}) GROUP BY dsstox_substance_id) p
+        SELECT ids.dsstox_substance_id, p.{label}, p.{value}
+        FROM (SELECT DISTINCT dsstox_substance_id FROM {long_step} WHERE {label} IS NOT NULL) ids
+        LEFT JOIN (SELECT dsstox_substance_id, {label}, {value} FROM {long_step}
+                   WHERE {label} IN (SELECT {label} FROM kept)) p
         ON ids.dsstox_substance_id = p.dsstox_substance_id"""
     return with_steps("", long_step).rstrip() + final
 

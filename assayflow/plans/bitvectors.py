@@ -43,6 +43,11 @@ def bit_tables(df: DataFrame, radius: int = K.FINGERPRINT_RADIUS, n_bits: int =
     return BitTables(valid, invalid)
 
 
+def _lines(spark, path: str) -> DataFrame:
+    """A written CSV file, read with the quoting it was written with."""
+    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
+
+
 def write_bit_tables(
     df: DataFrame,
     stem: str,
@@ -58,6 +63,6 @@ def write_bit_tables(
     # Counts come from the written files, not from hashing the texts again.
     spark = df.sparkSession
     first = paths[0]
-    written = spark.read.parquet(first) if first.endswith(".parquet") else spark.read.option("header", True).csv(first)
-    invalid = spark.read.option("header", True).csv(f"{stem}_invalid_smiles.csv").count() if wrote_invalid else 0
+    written = spark.read.parquet(first) if first.endswith(".parquet") else _lines(spark, first)
+    invalid = _lines(spark, f"{stem}_invalid_smiles.csv").count() if wrote_invalid else 0
     return {"valid": written.count(), "invalid": invalid}

@@ -26,7 +26,7 @@ from assayflow.operators import aggregates as agg
 from assayflow.operators import filters as flt
 from assayflow.operators import joins
 from assayflow.operators.columns import drop_present, select_ordered
-from assayflow.operators.matrix import binary_matrix, pivot_known
+from assayflow.operators.matrix import balanced_labels, binary_matrix, binary_rows, pivot_known
 
 
 @dataclass
@@ -207,16 +207,9 @@ def viability_results(exp: DataFrame, cell_viability: DataFrame) -> DataFrame:
     return v.withColumn("hitcall", rules.hit_flag("hitcall"))
 
 
-# Exact medians per group through ``aggregates.exact_median`` (range-partitioned
-# ranks) instead of one task merging each group's values: a compound tested in
-# a large share of all viability wells then never lands on a single task.
-SKEW_SAFE_MEDIAN = True
-
-
 def _stats(viability: DataFrame, keys: list[str]) -> DataFrame:
-    if SKEW_SAFE_MEDIAN:
-        return agg.hit_stats_skew_safe(viability, keys)
-    return agg.hit_stats(viability, keys)
+    """Counts and exact medians; no task holds all values of a frequent compound."""
+    return agg.hit_stats_skew_safe(viability, keys)
 
 
 def hit_stats_by_cell(viability: DataFrame) -> DataFrame:
@@ -339,7 +332,14 @@ def cytotox_binary_long(with_chemical: DataFrame) -> DataFrame:
 
 
 def wide(long_df: DataFrame, label: str, value: str, min_count: int = K.MIN_CLASS_COUNT) -> DataFrame:
-    return binary_matrix(long_df, COMPOUND, label, value, min_count)
+    """The wide matrix of the balanced labels, whose names become its columns."""
+    labels = balanced_labels(long_df.filter(F.col(label).isNotNull()), label, value, min_count)
+    names = sorted(r[0] for r in labels.select(label).collect())
+    return binary_matrix(long_df, COMPOUND, label, value, names)
+
+
+def matrix_rows(long_df: DataFrame, label: str, value: str, min_count: int = K.MIN_CLASS_COUNT) -> DataFrame:
+    return binary_rows(long_df, COMPOUND, label, value, min_count)
 
 
 # ---------------------------------------------------------------------------

@@ -261,17 +261,17 @@ def balanced_labels_cell(spark, folder):
 
 @query
 def cell_binary_matrix(spark, folder):
-    return S.wide(S.cell_binary_long(_Screen(spark, folder).cell_results()), S.ENDPOINT, "corr_hitcall")
+    return S.matrix_rows(S.cell_binary_long(_Screen(spark, folder).cell_results()), S.ENDPOINT, "corr_hitcall")
 
 
 @query
 def cellfree_binary_matrix(spark, folder):
-    return S.wide(S.cellfree_binary_long(_Screen(spark, folder).cellfree_results()), S.ENDPOINT, "hitcall")
+    return S.matrix_rows(S.cellfree_binary_long(_Screen(spark, folder).cellfree_results()), S.ENDPOINT, "hitcall")
 
 
 @query
 def cytotox_binary_matrix(spark, folder):
-    return S.wide(S.cytotox_binary_long(_Screen(spark, folder).cytotox_proc()), "assay_label", "hitcall")
+    return S.matrix_rows(S.cytotox_binary_long(_Screen(spark, folder).cytotox_proc()), "assay_label", "hitcall")
 
 
 # ---------------------------------------------------------------------------

@@ -7,8 +7,6 @@ the bench and the command line on one machine.
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours gets. On a cluster these are the ones that
@@ -67,7 +65,7 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; only a local session without one gets a scratch folder."""
+    """The session's checkpoint folder; a session without one gets a folder in its warehouse."""
     current = checkpoint_dir(spark)
     try:
         sc = spark.sparkContext
@@ -79,9 +77,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder before running on a cluster")
-    folder = tempfile.mkdtemp(prefix="assayflow-ckpt-")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"  # the warehouse is shared, too
     sc.setCheckpointDir(folder)
     return folder
 

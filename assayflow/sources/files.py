@@ -19,7 +19,8 @@ from functools import reduce
 from pathlib import PurePath
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from assayflow import constants as K
 
@@ -33,7 +34,7 @@ def delimiter_for(path: str) -> str:
             return ","
         if candidate in K.TAB_SUFFIXES:
             return "\t"
-    raise ValueError("Input file must be either a CSV or a TSV/TXT file.")
+    raise ValueError(f"{path}: no delimiter is known for this suffix")
 
 
 def read_delimited(
@@ -43,39 +44,39 @@ def read_delimited(
     comment: str | None = None,
     sep: str | None = None,
     sampling_ratio: float = 1.0,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """Read one or more delimited files that share a header.
+    """Read one or more delimited files with a header line each, columns by name.
 
-    The delimiter comes from the first file's suffix unless ``sep`` is given;
-    all files must agree. Without a schema, types are inferred from a full
-    pass (``samplingRatio=1``), which is the slow path and meant for small inputs.
-    """
+    Files may order their columns differently; a column of the schema (or of the first
+    file) that a file lacks is null there. The delimiter comes from each file's suffix
+    unless ``sep`` is given. Without a schema, types are inferred from a full pass
+    (``samplingRatio=1``). Quoted line breaks need ``multi_line``, which makes a file
+    one task; without it large files are split."""
     files = [paths] if isinstance(paths, str) else list(paths)
     if not files:
         raise ValueError("no input files")
-    seps = {sep or delimiter_for(p) for p in files}
-    if len(seps) != 1:
-        raise ValueError(f"files mix delimiters: {files}")
-    reader = (
-        spark.read.option("header", True)
-        .option("sep", seps.pop())
-        .option("multiLine", True)
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-    )
+    options = {"header": True, "escape": '"', "mode": "FAILFAST", "multiLine": multi_line}
     if comment:
-        reader = reader.option("comment", comment)
-    if schema is not None:
-        reader = reader.schema(schema)
-    else:
-        reader = reader.option("inferSchema", True).option("samplingRatio", sampling_ratio)
-    return reader.csv(files)
+        options["comment"] = comment
+
+    def one(path: str) -> DataFrame:
+        own = options | {"sep": sep or delimiter_for(path)}
+        if schema is None:
+            return spark.read.options(**own, inferSchema=True, samplingRatio=sampling_ratio).csv(path)
+        # The header's names are read first (all text), then typed by the schema's fields of these names.
+        names = spark.read.options(**own).csv(path).columns
+        known = {f.name: f for f in schema.fields}
+        ordered = StructType([known.get(c, StructField(c, StringType())) for c in names])
+        found = spark.read.options(**own, enforceSchema=False).schema(ordered).csv(path)
+        return found.select(*[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(p) for p in files])
 
 
 def read_aligned(spark: SparkSession, paths: Sequence[str], schema: StructType | None = None) -> DataFrame:
     """Read files whose headers may differ and stack them by column name (missing columns null)."""
-    frames = [read_delimited(spark, p, schema) for p in paths]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    return read_delimited(spark, paths, schema)
 
 
 def read_table(
@@ -89,28 +90,11 @@ def read_table(
         return source
     if isinstance(source, (str, PurePath)):
         return read_delimited(spark, str(source), schema, comment=comment)
-    raise ValueError("Input must be either a filename or a DataFrame.")
-
-
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A file written as one row group is one read task, and every narrow step
-    above it (projections, generators, partial aggregates) then runs on one
-    core. When the scan has fewer than ``min_partitions`` (default: the
-    session's default parallelism) partitions, the rows are round-robined out
-    once; with enough splits (any large input) the scan is returned unchanged.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # sessions without RDD access (e.g. Spark Connect): leave the scan as it is
-        return df
-    return df.repartition(target) if current < target else df
+    raise ValueError(f"expected a path or a DataFrame, got {type(source).__name__}")
 
 
 def require_nonempty(df: DataFrame) -> DataFrame:
     """Fail when ``df`` has no rows (reads at most one row)."""
     if df.isEmpty():
-        raise ValueError("Input file must contain at least one row.")
+        raise ValueError("the table has no rows")
     return df

@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayflow.operators import columns as cols
-from assayflow.operators.matrix import assert_unique, balanced_labels, binary_matrix, pivot_known
+from assayflow.operators.matrix import assert_unique, balanced_labels, binary_matrix, binary_rows, pivot_known
 
 
 def _long(spark, spec):
@@ -24,7 +24,7 @@ def test_balance_filter(spark):
 
 def test_pivot_keeps_compounds_of_dropped_labels(spark):
     df = _long(spark, {"A": (5, 5), "B": (1, 1)})
-    wide = binary_matrix(df, "id", "label", "v", 5)
+    wide = binary_matrix(df, "id", "label", "v", ["A"])
     assert "B" not in wide.columns and "A" in wide.columns
     assert wide.count() == df.select("id").distinct().count()
     b_only = df.filter(F.col("label") == "B").select("id").first()[0]
@@ -44,15 +44,30 @@ def test_pivot_known_fails_on_duplicate_cell(spark):
 
 def test_pivot_then_unpivot_is_long_form(spark):
     df = _long(spark, {"A": (5, 5), "B": (6, 5)}).dropna()
-    wide = binary_matrix(df, "id", "label", "v", 5)
+    wide = binary_matrix(df, "id", "label", "v", ["A", "B"])
     back = wide.unpivot("id", ["A", "B"], "label", "v").dropna()
     assert sorted(map(tuple, back.collect())) == sorted(map(tuple, df.collect()))
 
 
+def test_binary_rows_keep_every_compound_once(spark):
+    df = _long(spark, {"A": (5, 5), "B": (1, 1)})
+    rows = binary_rows(df, "id", "label", "v", 5).collect()
+    assert {r.id for r in rows} == {r.id for r in df.select("id").collect()}
+    assert {r.label for r in rows} == {"A", None}
+    twice = df.union(df.limit(1))
+    with pytest.raises(Exception, match="more than one row"):
+        binary_rows(twice, "id", "label", "v", 5).collect()
+
+
+def test_wide_matrix_has_no_label_limit(spark):
+    df = spark.createDataFrame([("c", "l0", 1)], "id string, label string, v long")
+    assert len(binary_matrix(df, "id", "label", "v", [f"l{i}" for i in range(10_001)]).columns) == 10_002
+
+
 def test_resolve_column(spark):
     df = spark.createDataFrame([(1, "x")], "id long, smiles string")
     assert cols.resolve_column(df, ["SMILES", "smiles"], "SMILES") == "smiles"
-    with pytest.raises(ValueError, match="Tried"):
+    with pytest.raises(ValueError, match="none of the columns"):
         cols.resolve_column(df, ["SMILES"], "SMILES")
 
 

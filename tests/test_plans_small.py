@@ -1,15 +1,21 @@
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from assayflow.operators.chunking import chunk_ids
 from assayflow.plans import annotate
-from assayflow.sources.files import ensure_parallelism
 
 
-def test_parallelism_guard_spreads_a_single_split(spark):
-    one = spark.range(100).coalesce(1)
-    assert ensure_parallelism(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert ensure_parallelism(many, 4) is many
+def test_columns_are_read_by_name(spark, tmp_dir):
+    from assayflow.sources.files import read_aligned
+
+    for name, text in (("a", "DTXSID,SMILES\nD1,C\n"), ("b", "SMILES,DTXSID\nCC,D2\n"), ("c", "DTXSID\nD3\n")):
+        with open(f"{tmp_dir}/{name}.csv", "w") as out:
+            out.write(text)
+    files = [f"{tmp_dir}/{name}.csv" for name in "abc"]
+    schema = StructType([StructField("DTXSID", StringType()), StructField("SMILES", StringType())])
+    want = [("D1", "C"), ("D2", "CC"), ("D3", None)]
+    for frame in (read_aligned(spark, files, schema), read_aligned(spark, files)):
+        assert sorted((r.DTXSID, r.SMILES) for r in frame.collect()) == want
 
 
 def test_chunks_put_null_first(spark):

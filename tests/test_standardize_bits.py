@@ -60,7 +60,7 @@ def test_standardize_rejects_and_validation(spark):
         standardize(df, method="other")
     with pytest.raises(ValueError):
         standardize(spark.createDataFrame([], "SMILES string"))
-    limited = standardize(spark.createDataFrame([("b",), ("a",), ("c",)], "SMILES string"), limit_rows=2)
+    limited = standardize(spark.createDataFrame([("b",), ("a",), ("c",)], "SMILES string"), limit_rows=2, order_by=["SMILES"])
     assert sorted(r.SMILES_original for r in limited.collect()) == ["a", "b"]
 
 
