@@ -19,7 +19,7 @@ import pyarrow as pa
 
 from .bytesops import Block, blocks, ragged, word_hashes, words
 
-MAX_RUNS = 300_000
+MAX_RUNS = 600_000
 GROUP_BYTES = 3 << 20
 
 # Marks that neither compose with a letter, nor start a contraction or a special token.
@@ -41,7 +41,7 @@ class RunTable:
     A run is found by its hash: ``cells`` has the slot of a hash at one of two places that
     the hash names, the few runs that found both taken are in a sorted overflow."""
 
-    BITS = 20
+    BITS = 21
 
     def __init__(self, encode: Callable[[list[bytes]], tuple[np.ndarray, np.ndarray]]):
         self.encode = encode
