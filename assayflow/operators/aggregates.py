@@ -82,62 +82,87 @@ def joined_distinct(value: str, sep: str = K.LIST_SEPARATOR) -> Column:
     return F.array_join(F.array_sort(F.collect_set(col(value).cast("string"))), sep)
 
 
-def exact_median(
-    df: DataFrame, keys: Sequence[str], value: str, out: str = "median", partitions: int | None = None
+#: Buckets for each doubling of a value in ``hit_stats_skew_safe``.
+BUCKETS_PER_OCTAVE = 256
+
+
+def _value_bucket(v: Column) -> Column:
+    """A bucket number that never falls as ``v`` rises and depends on nothing but ``v`` (NaN, the largest, last)."""
+    size = F.floor(F.log2(F.abs(v) + 1.0) * BUCKETS_PER_OCTAVE)
+    return F.when(F.isnan(v), F.lit(1 << 40)).otherwise(F.when(v < 0, -size).otherwise(size))
+
+
+def _count_values(df: DataFrame, keys: Sequence[str], value: Column, hits: Column, rows: Column) -> DataFrame:
+    return df.groupBy(*[col(k) for k in keys], value.alias("__v")).agg(
+        rows.alias("__rows"), F.coalesce(F.sum(hits), F.lit(0)).cast("long").alias("__hits")
+    )
+
+
+def hit_values(df: DataFrame, keys: Sequence[str], hit: str = "hitcall", ac50: str = "ac50") -> DataFrame:
+    """Rows and hits counted per (keys, AC50 of a hit); the AC50 is null for all other rows.
+
+    The one pre-aggregate that ``hit_stats_from_values`` reads, for any subset of ``keys``.
+    """
+    return _count_values(df, keys, F.when(col(hit) == 1, col(ac50).cast("double")), col(hit), F.count(F.lit(1)))
+
+
+def hit_stats_from_values(
+    values: DataFrame, keys: Sequence[str], median_name: str = "cytotox_median_ac50"
 ) -> DataFrame:
-    """Exact interpolating median of ``value`` per group, without holding a group in one task.
-
-    ``F.median`` merges a group's distinct values in one task; a group holding
-    a large share of all rows would not fit. Here:
-
-    1. (group, value) pairs are counted (partial aggregation; a hot group is
-       spread by value);
-    2. the pairs are range-partitioned on (group, value), so a hot group spans
-       several partitions, and each pair gets its cumulative count inside its
-       (partition, group) slice;
-    3. slice totals (one row per partition a group touches, so bounded by the
-       partition count per group) give each slice's offset and the group size;
-    4. the one or two pairs covering the middle ranks give the median,
-       interpolated as ``lo + (hi - lo) * frac`` like Spark's percentile.
-
-    Null values are ignored; groups without values are absent (join with
-    ``null_safe`` keys for a left result).
+    """``hit_stats`` from ``hit_values``: rows tested, hits and exact median, no group held by one task.
+
+    ``F.median`` would merge a group's values in one task. Here the (group, value) counts get a
+    bucket that follows from the value alone; the buckets of a group are counted, the one or two
+    that hold the middle ranks found, and only their values ranked. All shuffles hash (group, value)
+    or (group, bucket), so a hot group is spread, and nothing depends on which task saw which row:
+    a second evaluation gives the same rows. A group has at most ``BUCKETS_PER_OCTAVE`` buckets for
+    each doubling of its values. Interpolates as ``lo + (hi - lo) * fraction``; null without values.
     """
     from pyspark.sql import Window
 
-    n_parts = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    k = [col(c) for c in keys]
-    v = col(value)
-    pairs = df.filter(v.isNotNull()).groupBy(*k, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    ranged = pairs.repartitionByRange(n_parts, *[F.col(f"`{c}`") for c in keys], F.col("__v")).withColumn(
-        "__p", F.spark_partition_id()
+    k = list(keys)
+    counted = _count_values(values, k, F.col("__v"), F.col("__hits"), F.sum("__rows"))
+    counted = counted.withColumn("__b", _value_bucket(F.col("__v")))
+    filled = F.when(F.col("__v").isNotNull(), F.col("__rows")).otherwise(F.lit(0))
+    buckets = counted.groupBy(*[col(c) for c in k], "__b").agg(
+        F.sum("__rows").alias("__rows"), F.sum("__hits").alias("__hits"), F.sum(filled).alias("__c")
+    )
+    group = Window.partitionBy(*[col(c) for c in k])
+    upto = group.orderBy(F.col("__b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+    n, pos = F.col("__n"), (F.col("__n") - 1).cast("double") * 0.5
+    buckets = buckets.select(
+        *[col(c).alias(f"__k{i}") for i, c in enumerate(k)],
+        F.col("__b").alias("__kb"),
+        F.sum("__rows").over(group).alias("ntested"),
+        F.sum("__hits").over(group).alias("nhit"),
+        F.sum("__c").over(group).alias("__n"),
+        (F.sum("__c").over(upto) - F.col("__c")).alias("__before"),
+        "__c",
     )
-    slice_w = Window.partitionBy("__p", *keys).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = ranged.withColumn("__cum", F.sum("__c").over(slice_w))
-    totals = ranked.groupBy("__p", *keys).agg(F.max("__cum").alias("__t"))
-    before = Window.partitionBy(*keys).orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*keys)
-    offsets = totals.select(
-        F.col("__p").alias("__op"),
-        *[col(c).alias(f"__k{i}") for i, c in enumerate(keys)],
-        F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__off"),
-        F.sum("__t").over(whole).alias("__n"),
+    low, high = F.floor(pos) + 1, F.ceil(pos) + 1
+    middle = buckets.where(
+        (n == 0) | ((F.col("__c") > 0) & (F.col("__before") < high) & (F.col("__before") + F.col("__c") >= low))
     )
-    cond = [F.col("__p") == F.col("__op")] + [col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(keys)]
-    joined = ranked.join(offsets, cond).select(*k, "__v", "__c", "__cum", "__off", "__n")
-    hi = F.col("__off") + F.col("__cum")
-    lo = hi - F.col("__c") + 1
-    pos = (F.col("__n") - 1).cast("double") * F.lit(0.5)
-    k1 = F.floor(pos) + 1
-    k2 = F.ceil(pos) + 1
-    picked = joined.filter(((lo <= k1) & (hi >= k1)) | ((lo <= k2) & (hi >= k2)))
-    mid = picked.groupBy(*k).agg(
-        F.max(F.when((lo <= k1) & (hi >= k1), F.col("__v"))).alias("__lo"),
-        F.max(F.when((lo <= k2) & (hi >= k2), F.col("__v"))).alias("__hi"),
-        F.first(pos).alias("__pos"),
+    found = counted.where(F.col("__v").isNotNull()).select(*[col(c) for c in k], "__b", "__v", F.col("__rows").alias("__m"))
+    same = [F.col(f"__k{i}").eqNullSafe(col(c)) for i, c in enumerate(k)] + [F.col("__kb") == F.col("__b")]
+    held = [F.col(f"__k{i}") for i in range(len(k))]
+    in_bucket = Window.partitionBy(*held, "__kb").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = middle.join(found, same, "left").withColumn("__last", F.col("__before") + F.sum("__m").over(in_bucket))
+
+    def at(rank: Column) -> Column:
+        return F.max(F.when((F.col("__last") >= rank) & (F.col("__last") - F.col("__m") < rank), F.col("__v")))
+
+    out = ranked.groupBy(*held).agg(
+        F.max("ntested").alias("ntested"),
+        F.max("nhit").alias("nhit"),
+        at(low).alias("__lo"),
+        at(high).alias("__hi"),
+        F.max(pos - F.floor(pos)).alias("__part"),
     )
-    frac = F.col("__pos") - F.floor(F.col("__pos"))
-    return mid.select(*k, (F.col("__lo") + (F.col("__hi") - F.col("__lo")) * frac).alias(out))
+    median = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo")).otherwise(
+        F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__part")
+    )
+    return out.select(*[h.alias(c) for h, c in zip(held, k)], "ntested", "nhit", median.alias(median_name))
 
 
 def hit_stats_skew_safe(
@@ -147,9 +172,13 @@ def hit_stats_skew_safe(
     ac50: str = "ac50",
     median_name: str = "cytotox_median_ac50",
 ) -> DataFrame:
-    """``hit_stats`` with the median from ``exact_median`` (no group is ever held by one task)."""
-    counts = df.groupBy(*[col(c) for c in keys]).agg(row_count().alias("ntested"), nonnull_sum(hit).alias("nhit"))
-    med = exact_median(df.filter(col(hit) == 1), keys, ac50, "__m")
-    med = med.select(*[col(c).alias(f"__k{i}") for i, c in enumerate(keys)], "__m")
-    cond = [col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(keys)]
-    return counts.join(med, cond, "left").select(*[col(c) for c in keys], "ntested", "nhit", F.col("__m").alias(median_name))
+    """``hit_stats`` without ever holding a group in one task (see ``hit_stats_from_values``)."""
+    return hit_stats_from_values(hit_values(df, keys, hit, ac50), keys, median_name)
+
+
+def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str = "median") -> DataFrame:
+    """Exact interpolating median of ``value`` per group; null values ignored, groups without values absent."""
+    counted = _count_values(
+        df.where(col(value).isNotNull()), keys, col(value).cast("double"), F.lit(0), F.count(F.lit(1))
+    )
+    return hit_stats_from_values(counted, keys, out).drop("ntested", "nhit")

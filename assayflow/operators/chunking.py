@@ -1,13 +1,14 @@
 """Exact, numbered chunks of a sorted id list, without a global window.
 
 A ``row_number()`` over the whole table would pull every row into one task.
-Instead the ids are range-partitioned and sorted inside each partition; a
-row's position inside its partition comes from ``monotonically_increasing_id``
-(partition index in the upper bits, position in the lower 33 bits); the
-per-partition row counts (one row per partition, a size bound that does not
-grow with the data) give each partition's offset; offset + position is the
-global 1-based index, and ``(index - 1) div size + 1`` the chunk number.
-Each chunk has exactly ``size`` rows except the last.
+Instead the ids are range-partitioned and sorted once and written to the
+shared checkpoint folder; a row's position inside its partition comes from
+``monotonically_increasing_id`` (partition index in the upper bits, position
+in the lower 33 bits), the per-partition row counts (one row per partition)
+give each partition's offset, and offset + position is the global 1-based
+index. Offsets and rows both read the written rows: range bounds are sampled,
+so a second evaluation could place a row elsewhere. Each chunk
+(``(index - 1) div size + 1``) has exactly ``size`` rows except the last.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.sql import functions as F
 
 from assayflow import constants as K
 from assayflow.operators.columns import col
+from assayflow.session import cut_lineage
 
 _LOW_BITS = (1 << 33) - 1
 
@@ -27,6 +29,7 @@ def number_rows(df: DataFrame, order: str, partitions: int | None = None) -> Dat
     ranged = df.repartitionByRange(n, col(order).asc_nulls_first()).sortWithinPartitions(col(order).asc_nulls_first())
     mid = F.monotonically_increasing_id()
     placed = ranged.select("*", F.shiftright(mid, 33).alias("__part"), (mid.bitwiseAND(F.lit(_LOW_BITS)) + 1).alias("__pos"))
+    placed = cut_lineage(placed)
     counts = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
     offsets = counts.select(
         "__part",

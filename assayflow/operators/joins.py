@@ -75,18 +75,23 @@ def fallback_join(
 
     ``levels`` is a list of ``(keys, right, tag)`` from the finest to the
     coarsest key. Each left row is matched at the first level whose keys it
-    finds on the right (inner join), tagged with that level's ``tag``; rows
-    without a match go on to the next level (left-anti join). Rows unmatched
-    at every level are dropped. The right sides must have the same non-key
-    columns so the levels stack by name.
+    finds on the right and tagged with that level's ``tag``; rows unmatched at
+    every level are dropped. The right sides have the same non-key columns.
+
+    One left join for each level, which looks only at rows still unmatched, so
+    neither the left side nor a level is read twice.
     """
-    pieces = []
-    rest = left_df
+    values = [c for c in levels[0][1].columns if c not in levels[0][0]]
+    out = left_df.withColumn(tag_column, F.lit(None).cast("string"))
     for i, (keys, right, tag) in enumerate(levels):
         keys = list(keys)
-        matched = rest.join(right, on=keys, how="inner").withColumn(tag_column, F.lit(tag))
-        pieces.append(matched)
-        if i < len(levels) - 1:
-            rest = rest.join(right.select(*keys), on=keys, how="left_anti")
-    out = reduce(lambda a, b: a.unionByName(b), pieces)
-    return out.select(*left_df.columns, *[c for c in out.columns if c not in left_df.columns])
+        side = right.select(
+            *[col(c).alias(f"__k{i}_{c}") for c in keys], *[col(c).alias(f"__v{i}_{c}") for c in values]
+        ).withColumn(f"__t{i}", F.lit(tag))
+        match = [out[c] == side[f"__k{i}_{c}"] for c in keys] + [out[tag_column].isNull()]
+        out = out.join(side, match, "left").withColumn(tag_column, F.coalesce(col(tag_column), F.col(f"__t{i}")))
+    picked = [
+        F.coalesce(*[F.when(F.col(f"__t{i}").isNotNull(), F.col(f"__v{i}_{c}")) for i in range(len(levels))]).alias(c)
+        for c in values
+    ]
+    return out.where(col(tag_column).isNotNull()).select(*[col(c) for c in left_df.columns], *picked, col(tag_column))

@@ -293,17 +293,21 @@ ROLE = {
                CAST(l_quantity AS BIGINT) AS support
         FROM lineitem""",
     "reference_keys": """
-        SELECT CAST(p_partkey AS VARCHAR) AS DTXSID, p_name || '#' || p_brand AS INCHIKEY FROM part
-        WHERE p_size % 2 = 0""",
+        SELECT CAST(p_partkey AS VARCHAR) AS DTXSID,
+               CASE WHEN (p_partkey // 4) % 2 = 0 THEN 'K' ELSE 'X' END || CAST(p_partkey // 4 AS VARCHAR) AS INCHIKEY
+        FROM part""",
     "compounds": """
-        SELECT p_name || '#' || p_brand AS INCHIKEY, p_name AS name, p_type AS orig_target_ann FROM part
-        WHERE p_size % 2 = 1""",
+        SELECT 'K' || CAST(p_partkey // 4 AS VARCHAR) AS INCHIKEY, p_name AS name, p_type AS orig_target_ann
+        FROM part""",
     "drugs": """
-        SELECT CASE WHEN p_partkey % 40 = 0 THEN NULL ELSE 'CAS-' || CAST(p_partkey % 300 AS VARCHAR) END AS CASRN,
+        SELECT CASE WHEN p_partkey <> 40 THEN 'CAS-' || CAST(p_partkey // 4 AS VARCHAR) END AS CASRN,
                p_name AS name, p_type AS target
         FROM part""",
     "drug_structures": """
-        SELECT CASE WHEN doc_id % 50 = 0 THEN NULL ELSE 'CAS-' || CAST(doc_id % 300 AS VARCHAR) END AS CASRN,
+        SELECT CASE WHEN doc_id % 50 <> 0 THEN 'CAS-' || CAST(doc_id // 3 AS VARCHAR) END AS CASRN, text AS SMILES
+        FROM documents""",
+    "faulty_structures": """
+        SELECT CASE WHEN doc_id % 50 <> 0 THEN 'CAS-' || CAST(doc_id // 3 AS VARCHAR) END AS CASRN,
                CASE WHEN doc_id % 31 = 0 THEN NULL WHEN doc_id % 37 = 0 THEN '' ELSE text END AS SMILES
         FROM documents""",
 }
@@ -365,23 +369,29 @@ def _standardized(source: str, norm=_collapse, single: bool = False) -> str:
                FROM ({fx})"""
 
 
-_STD_AUG = f"""
-    SELECT s.*, d.CASRN FROM drug_structures d
-    JOIN ({_standardized("SELECT SMILES AS x FROM drug_structures")}) s ON d.SMILES = s.SMILES_original"""
+def _augmented(structures: str) -> str:
+    return f"""
+    SELECT s.*, d.CASRN FROM {structures} d
+    JOIN ({_standardized(f"SELECT SMILES AS x FROM {structures}")}) s ON d.SMILES = s.SMILES_original"""
+
+
+_STD_AUG = _augmented("drug_structures")
+_STD_FAULTY = _augmented("faulty_structures")
 
 _TOKENS = "list_filter(string_split_regex({x}, '\\s+'), lambda t: t <> '')"
 
 
-def _bits(tok: str, radius: int = K.FINGERPRINT_RADIUS, n_bits: int = K.FINGERPRINT_BITS) -> str:
-    grams = [
-        f"list_transform(range(1, len({tok}) - {n - 1} + 1), lambda i: array_to_string({tok}[i:i + {n - 1}], ' '))"
-        for n in range(1, radius + 2)
-    ]
-    feats = " || ".join(grams)
-    return (
-        f"list_sort(list_distinct(list_transform({feats}, "
-        f"lambda g: CAST(CAST(('0x' || substr(md5(g), 1, 7)) AS BIGINT) % {n_bits} AS INTEGER))))"
-    )
+def _bits(source: str, key: str, radius: int = K.FINGERPRINT_RADIUS, n_bits: int = K.FINGERPRINT_BITS) -> str:
+    """Distinct (key, bit) of the token lists ``tok`` of ``source``: tokens as rows, longer n-grams by ``lead``."""
+    step = f"OVER (PARTITION BY {key} ORDER BY pos)"
+    grams = ["t"]
+    for n in range(1, radius + 1):
+        grams.append(f"{grams[-1]} || ' ' || lead(t, {n}) {step}")
+    return f"""
+        SELECT DISTINCT {key}, CAST(CAST(('0x' || substr(md5(g), 1, 7)) AS BIGINT) % {n_bits} AS INTEGER) AS bit
+        FROM (SELECT {key}, unnest([{", ".join(grams)}]) AS g
+              FROM (SELECT {key}, unnest(tok) AS t, generate_subscripts(tok, 1) AS pos FROM ({source})))
+        WHERE g IS NOT NULL"""
 
 
 _FP_META = f"""
@@ -421,14 +431,14 @@ ORACLE.update(
         ),
         "compound_lists": _role(
             """SELECT d.CASRN, d.name, d.target, s.SMILES FROM drugs d
-               JOIN drug_structures s ON d.CASRN IS NOT DISTINCT FROM s.CASRN
+               JOIN drug_structures s ON d.CASRN = s.CASRN
                WHERE s.SMILES IS NOT NULL AND s.SMILES <> ''"""
         ),
         "standardize_text": _standardized("SELECT text AS x FROM documents"),
         "standardize_single_pass": _standardized("SELECT text AS x FROM documents", single=True),
         "standardize_augment": _role(_STD_AUG),
         "standardize_augment_distinct_first": _role(_STD_AUG),
-        "standardize_rejects": _role(f"SELECT * FROM ({_STD_AUG}) WHERE SMILES_standardized IS NULL"),
+        "standardize_rejects": _role(f"SELECT * FROM ({_STD_FAULTY}) WHERE SMILES_standardized IS NULL"),
         "left_join_renamed_key": _role(
             """SELECT c.INCHIKEY, c.name, c.orig_target_ann, r.DTXSID
                FROM compounds c LEFT JOIN reference_keys r ON c.INCHIKEY = r.INCHIKEY"""
@@ -436,25 +446,19 @@ ORACLE.update(
         "standardize_fixpoint_trailing": _standardized("SELECT text AS x FROM documents", _drop_dot),
         "standardize_fixpoint_reverse": _standardized("SELECT p_name AS x FROM part", _reverse),
         "standardize_fixpoint_rotate": _standardized("SELECT text AS x FROM documents", _rotate),
-        "target_counts": _role(
-            """, supported AS (SELECT DISTINCT t.DTXSID, t.target, k.INCHIKEY
-                                FROM reference_targets t JOIN reference_keys k ON t.DTXSID = k.DTXSID
-                                WHERE t.support >= 7)
-               SELECT INCHIKEY, count(DISTINCT target) AS target_count FROM supported GROUP BY INCHIKEY""".replace(
-                ", supported", "", 0
-            )
-        ),
-        "fingerprint_bits": f"""
-            SELECT doc_id, unnest({_bits(_TOKENS.format(x="text"))}) AS bit FROM documents""",
+        "fingerprint_bits": _bits(f"SELECT doc_id, {_TOKENS.format(x='text')} AS tok FROM documents", "doc_id"),
         "fingerprint_matrix": _role(
-            f""", std_aug AS ({_STD_AUG}), meta AS ({_FP_META})
+            f""", std_aug AS ({_STD_AUG}),
+                 meta AS (SELECT *, row_number() OVER () AS place FROM ({_FP_META}) WHERE valid_mol),
+                 lists AS (SELECT place, list(bit) AS bits
+                           FROM ({_bits("SELECT place, tok FROM meta", "place")}) GROUP BY place)
                SELECT standardized_smiles, InChIKey_standardized, CASRN, valid_mol,
                       array_to_string(list_transform(range({K.FINGERPRINT_BITS}),
                           lambda b: CASE WHEN list_contains(bits, b) THEN '1' ELSE '0' END), '') AS bits
-               FROM (SELECT *, {_bits("tok")} AS bits FROM meta WHERE valid_mol)"""
+               FROM meta JOIN lists USING (place)"""
         ),
         "fingerprint_invalid": _role(
-            f""", std_aug AS ({_STD_AUG}), meta AS ({_FP_META})
+            f""", std_aug AS ({_STD_FAULTY}), meta AS ({_FP_META})
                SELECT standardized_smiles, InChIKey_standardized, CASRN, valid_mol FROM meta WHERE NOT valid_mol"""
         ),
     }

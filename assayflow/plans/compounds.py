@@ -1,8 +1,9 @@
 """Compound lists (P2): attach structure text to a list by a shared id,
 stack id-chunk results, and standardize each list.
 
-The structure table may have null ids; like a pandas merge, a null id
-matches a null id (``null_safe=False`` turns that off).
+The structure table may have null ids. A null id matches nothing unless
+``null_safe=True`` asks for the pandas rule (null matches null), whose rows
+grow with the product of the null ids on both sides.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ def attach_structures(
     structures: DataFrame,
     key: str,
     text: str = "SMILES",
-    null_safe: bool = True,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Compounds (without their own ``text`` column) joined to structures with a non-blank ``text``."""
     left = drop_present(compounds, [text])

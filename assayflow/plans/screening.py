@@ -181,14 +181,13 @@ def hit_params_wide(mc5_param: DataFrame, endpoints: DataFrame | None = None) ->
 def experiment_table(inputs: ScreeningInputs, endpoints: DataFrame | None = None) -> DataFrame:
     """Fits with concentrations, sample, chemical and pivoted parameters.
 
-    ``endpoints`` (a frame with ``aeid``) restricts the parameters early, before
-    the fact-to-fact joins. The source's semi-join of the parameters on the
+    The joins start from the parameters, so ``endpoints`` (a frame with ``aeid``)
+    restricts every fact-to-fact join. The source's semi-join of the parameters on the
     fit ids is implied by the inner join on ``m5id`` and not written again.
     """
-    exp = inputs.mc4.select("m4id", "spid", "logc_max", "logc_min", "nconc")
+    exp = joins.inner(hit_params_wide(inputs.mc5_param, endpoints), inputs.mc5.select("m5id", "m4id"), "m5id")
+    exp = joins.inner(exp, inputs.mc4.select("m4id", "spid", "logc_max", "logc_min", "nconc"), "m4id")
     exp = joins.inner(exp, inputs.sample.select("spid", "chid"), "spid")
-    exp = joins.inner(exp, inputs.mc5.select("m5id", "m4id"), "m4id")
-    exp = joins.inner(exp, hit_params_wide(inputs.mc5_param, endpoints), "m5id")
     return joins.inner(exp, inputs.chemical.select("chid", "dsstox_substance_id"), "chid")
 
 
@@ -207,17 +206,17 @@ def viability_results(exp: DataFrame, cell_viability: DataFrame) -> DataFrame:
     return v.withColumn("hitcall", rules.hit_flag("hitcall"))
 
 
-def _stats(viability: DataFrame, keys: list[str]) -> DataFrame:
-    """Counts and exact medians; no task holds all values of a frequent compound."""
-    return agg.hit_stats_skew_safe(viability, keys)
+def viability_values(viability: DataFrame) -> DataFrame:
+    """Viability rows counted per compound, cell, tissue and AC50: what both levels are made from."""
+    return agg.hit_values(viability, ["chid", "cell_short_name", "tissue"])
 
 
-def hit_stats_by_cell(viability: DataFrame) -> DataFrame:
-    return _stats(viability, ["chid", "cell_short_name"])
+def hit_stats_by_cell(values: DataFrame) -> DataFrame:
+    return agg.hit_stats_from_values(values, ["chid", "cell_short_name"])
 
 
-def hit_stats_by_tissue(viability: DataFrame) -> DataFrame:
-    return _stats(viability, ["tissue", "chid"])
+def hit_stats_by_tissue(values: DataFrame) -> DataFrame:
+    return agg.hit_stats_from_values(values, ["tissue", "chid"])
 
 
 def cytotox_estimate(cell_results: DataFrame, by_cell: DataFrame, by_tissue: DataFrame) -> DataFrame:
@@ -366,7 +365,7 @@ def build(inputs: ScreeningInputs, materialize=None) -> ScreeningOutputs:
     exp = experiment_table(inputs, selected_endpoint_ids(eps))
     if materialize is not None:
         exp = materialize(exp)
-    viab = viability_results(exp, eps.cell_viability)
+    viab = viability_values(viability_results(exp, eps.cell_viability))
     by_cell, by_tissue = hit_stats_by_cell(viab), hit_stats_by_tissue(viab)
     other = cell_other_results(exp, eps.cell_other)
     cyto = cytotox_estimate(other, by_cell, by_tissue)

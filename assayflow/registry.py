@@ -20,7 +20,6 @@ from assayflow.operators import joins
 from assayflow.operators.matrix import balanced_labels
 from assayflow.plans import annotate, bitvectors, chunks, compounds
 from assayflow.plans import screening as S
-from assayflow.session import cut_lineage
 from assayflow.sources.bindings import Tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,19 +36,16 @@ def _inputs(spark: SparkSession, folder: str) -> S.ScreeningInputs:
 
 
 class _Screen:
-    """Shared steps of the screening queries for one folder."""
+    """Shared steps of the screening queries for one folder. Lazy: building a query starts no job."""
 
     def __init__(self, spark: SparkSession, folder: str, restrict: bool = True):
         self.tables = Tables(spark, folder)
         self.inputs = S.ScreeningInputs.from_tables(self.tables)
-        self.eps = S.endpoint_metadata(self.inputs, materialize=cut_lineage)
-        exp = S.experiment_table(self.inputs, S.selected_endpoint_ids(self.eps) if restrict else None)
-        # Every branch reads the fits: write them once to the shared checkpoint folder
-        # rather than repeating the fact-to-fact joins in each branch of the plan.
-        self.exp = cut_lineage(exp)
+        self.eps = S.endpoint_metadata(self.inputs)
+        self.exp = S.experiment_table(self.inputs, S.selected_endpoint_ids(self.eps) if restrict else None)
 
     def viability(self) -> DataFrame:
-        return S.viability_results(self.exp, self.eps.cell_viability)
+        return S.viability_values(S.viability_results(self.exp, self.eps.cell_viability))
 
     def by_cell(self) -> DataFrame:
         return S.hit_stats_by_cell(self.viability())
@@ -367,7 +363,7 @@ def standardize_augment_distinct_first(spark, folder):
 
 @query
 def standardize_rejects(spark, folder):
-    return standardize.rejects(_standardized_structures(spark, folder))
+    return standardize.rejects(_standardized_structures(spark, folder, faults=True))
 
 
 @query
@@ -395,8 +391,8 @@ def standardize_fixpoint_rotate(spark, folder):
     return standardize.standardize(Tables(spark, folder).documents_as_structures(), normalizer=text.rotate_left)
 
 
-def _standardized_structures(spark, folder):
-    return standardize.standardize(Tables(spark, folder).drug_structures(), augment=True)
+def _standardized_structures(spark, folder, faults=False):
+    return standardize.standardize(Tables(spark, folder).drug_structures(faults), augment=True)
 
 
 # ---------------------------------------------------------------------------
@@ -446,7 +442,7 @@ def fingerprint_matrix(spark, folder):
 
 @query
 def fingerprint_invalid(spark, folder):
-    return bitvectors.bit_tables(_standardized_structures(spark, folder)).invalid
+    return bitvectors.bit_tables(_standardized_structures(spark, folder, faults=True)).invalid
 
 
 # The rule default; at sf0.01 it already drops labels with fewer than 5 ones.

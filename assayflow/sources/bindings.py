@@ -190,26 +190,26 @@ class Tables:
         )
 
     def reference_keys(self) -> DataFrame:
-        """(DTXSID, INCHIKEY): standardized keys of the reference ids (even part sizes)."""
-        return (
-            self.raw("part")
-            .filter(F.col("p_size") % 2 == 0)
-            .select(F.col("p_partkey").cast("string").alias("DTXSID"), compound_key().alias("INCHIKEY"))
+        """(DTXSID, INCHIKEY): standardized keys of the reference ids, every second of which no compound has."""
+        group = compound_group()
+        return self.raw("part").select(
+            F.col("p_partkey").cast("string").alias("DTXSID"),
+            F.concat(F.when(group % 2 == 0, F.lit("K")).otherwise(F.lit("X")), group.cast("string")).alias("INCHIKEY"),
         )
 
     def compounds(self) -> DataFrame:
-        """(INCHIKEY, name, orig_target_ann): compounds to annotate (odd part sizes)."""
-        return (
-            self.raw("part")
-            .filter(F.col("p_size") % 2 == 1)
-            .select(compound_key().alias("INCHIKEY"), F.col("p_name").alias("name"), F.col("p_type").alias("orig_target_ann"))
+        """(INCHIKEY, name, orig_target_ann): compounds to annotate, four to a key."""
+        return self.raw("part").select(
+            F.concat(F.lit("K"), compound_group().cast("string")).alias("INCHIKEY"),
+            F.col("p_name").alias("name"),
+            F.col("p_type").alias("orig_target_ann"),
         )
 
     def drugs(self) -> DataFrame:
-        """(CASRN, name, target): null CAS every 40th part."""
+        """(CASRN, name, target): four drugs to a CAS number, one drug without any."""
         key = F.col("p_partkey")
         return self.raw("part").select(
-            F.when(key % 40 == 0, F.lit(None)).otherwise(F.concat(F.lit("CAS-"), (key % 300).cast("string"))).alias("CASRN"),
+            F.when(key != 40, F.concat(F.lit("CAS-"), F.floor(key / 4).cast("string"))).alias("CASRN"),
             F.col("p_name").alias("name"),
             F.col("p_type").alias("target"),
         )
@@ -232,20 +232,23 @@ class Tables:
         )
         return frames
 
-    def drug_structures(self) -> DataFrame:
-        """(CASRN, SMILES): structure text per CAS, with null and blank texts and null CAS."""
+    def drug_structures(self, faults: bool = False) -> DataFrame:
+        """(CASRN, SMILES): a whole text per row, three to a CAS number, some without one.
+
+        ``faults`` adds null and blank texts, for the queries about rows that cannot be standardized.
+        """
         doc = F.col("doc_id")
+        whole = F.col("text")
         return self.raw("documents").select(
-            F.when(doc % 50 == 0, F.lit(None)).otherwise(F.concat(F.lit("CAS-"), (doc % 300).cast("string"))).alias("CASRN"),
-            F.when(doc % 31 == 0, F.lit(None))
-            .when(doc % 37 == 0, F.lit(""))
-            .otherwise(F.col("text"))
-            .alias("SMILES"),
+            F.when(doc % 50 != 0, F.concat(F.lit("CAS-"), F.floor(doc / 3).cast("string"))).alias("CASRN"),
+            (F.when(doc % 31 == 0, F.lit(None)).when(doc % 37 == 0, F.lit("")).otherwise(whole) if faults else whole).alias(
+                "SMILES"
+            ),
         )
 
 
-def compound_key() -> Column:
-    return F.concat(F.col("p_name"), F.lit("#"), F.col("p_brand"))
+def compound_group() -> Column:
+    return F.floor(F.col("p_partkey") / 4)
 
 
 # Binding vocabularies (not rule constants).
