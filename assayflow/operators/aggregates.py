@@ -116,7 +116,7 @@ def hit_stats_from_values(
     that hold the middle ranks found, and only their values ranked. All shuffles hash (group, value)
     or (group, bucket), so a hot group is spread, and nothing depends on which task saw which row:
     a second evaluation gives the same rows. A group has at most ``BUCKETS_PER_OCTAVE`` buckets for
-    each doubling of its values. Interpolates as ``lo + (hi - lo) * fraction``; null without values.
+    each doubling of its values. Interpolates like ``F.median``; null without values.
     """
     from pyspark.sql import Window
 
@@ -160,7 +160,7 @@ def hit_stats_from_values(
         F.max(pos - F.floor(pos)).alias("__part"),
     )
     median = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo")).otherwise(
-        F.col("__lo") + (F.col("__hi") - F.col("__lo")) * F.col("__part")
+        F.col("__lo") * (F.lit(1.0) - F.col("__part")) + F.col("__hi") * F.col("__part")
     )
     return out.select(*[h.alias(c) for h, c in zip(held, k)], "ntested", "nhit", median.alias(median_name))
 

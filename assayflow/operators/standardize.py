@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -39,6 +40,27 @@ def default_normalizer(c: Column) -> Column:
     return F.when(norm == F.lit(""), F.lit(None).cast("string")).otherwise(norm)
 
 
+def row_safe(fn: Callable[[str], str | None]) -> Normalizer:
+    """A normalizer from a Python function, for libraries Spark has no expression for.
+
+    A value for which ``fn`` raises gets null, so its row goes to the rejects and
+    the task goes on. Runs on Arrow batches; use it with ``distinct_first=True``.
+    """
+    def one(value):
+        if value is None:
+            return None
+        try:
+            return fn(value)
+        except Exception:  # whatever the library raises for a value it cannot handle
+            return None
+
+    @F.pandas_udf("string")
+    def normalized(values: pd.Series) -> pd.Series:
+        return pd.Series([one(v) for v in values], index=values.index, dtype=object)
+
+    return normalized
+
+
 def fixpoint(fn: Normalizer, c: Column, rounds: int = K.FIXPOINT_ROUNDS) -> Column:
     """Apply ``fn`` up to ``rounds`` times.
 
@@ -84,12 +106,15 @@ def standardize(
     distinct_first: bool = False,
     outputs: Sequence[str] = tuple(K.STANDARDIZE_OUTPUTS),
     variant: str | None = None,
+    check_nonempty: bool = True,
 ) -> DataFrame:
     """Standardized rows: (original, standardized, long key, short key) [+ the input's other columns].
 
     Without ``augment``: one row per distinct non-null value of ``column``.
     With ``augment``: one row per input row whose value is not null (rows with
     a null value are dropped, as the standardized list is the left side).
+    An empty table is an error, found by reading one row at once;
+    ``check_nonempty=False`` starts no job and gives an empty result instead.
     """
     if method not in METHODS:
         raise ValueError(f"method must be one of {METHODS}")
@@ -98,7 +123,8 @@ def standardize(
         df = normalize_case_variant(df, column, variant)
     elif column not in df.columns:
         raise ValueError(f"no column {column!r} in the table")
-    require_nonempty(df)
+    if check_nonempty:
+        require_nonempty(df)
     if limit_rows is not None:
         if not order_by:
             raise ValueError("limit_rows needs the columns that order the rows (order_by)")

@@ -17,6 +17,8 @@ from assayflow import constants as K
 from assayflow.operators import aggregates as agg
 from assayflow.operators import filters as flt
 from assayflow.operators import joins
+from assayflow.operators.columns import rename
+from assayflow.sinks.files import write_csv
 
 KEY = "INCHIKEY"
 
@@ -42,3 +44,44 @@ def annotate(
 ) -> DataFrame:
     summary = target_summary(supported_targets(targets, keys, min_support), compounds)
     return joins.left(compounds, summary, KEY)
+
+
+# Columns of the two standardized lists that are annotated, with their new names.
+DRUG_COLUMNS = {"InChIKey_standardized": KEY, "Name": "name", "Target": "orig_target_ann"}
+PESTICIDE_COLUMNS = {
+    "InChIKey_standardized": KEY,
+    "Descriptive name": "name",
+    "CHEMBL_ID": "CHEMBL_ID",
+    "ChEBI": "ChEBI",
+    "Pesticide type": "Pesticide type",
+}
+
+
+def project(standardized: DataFrame, columns: dict[str, str]) -> DataFrame:
+    return rename(standardized.select(*[f"`{c}`" for c in columns]), columns)
+
+
+def annotate_lists(
+    drugs: DataFrame,
+    pesticides: DataFrame,
+    reference: DataFrame,
+    targets: DataFrame,
+    min_support: int = K.MIN_TARGET_SUPPORT,
+) -> dict[str, DataFrame]:
+    """Both standardized lists, projected, renamed and annotated.
+
+    ``reference`` is the standardized reference list (key and ``DTXSID``), ``targets``
+    names its ids ``dsstox_substance_id``.
+    """
+    keys = project(reference, {"InChIKey_standardized": KEY, "DTXSID": "DTXSID"})
+    named = rename(targets, {"dsstox_substance_id": "DTXSID"})
+    lists = {"drugs": project(drugs, DRUG_COLUMNS), "pesticides": project(pesticides, PESTICIDE_COLUMNS)}
+    return {name: annotate(df, named, keys, min_support) for name, df in lists.items()}
+
+
+def write_annotations(annotated: dict[str, DataFrame], folder: str) -> dict[str, str]:
+    """Write each annotated list as a CSV folder below ``folder``; returns their paths."""
+    paths = {name: f"{folder.rstrip('/')}/{name}_annotated.csv" for name in annotated}
+    for name, df in annotated.items():
+        write_csv(df, paths[name])
+    return paths

@@ -1,8 +1,8 @@
 """Bit-vector table (P9): resolve the structure and id columns, hash each
 text to a bit vector, split valid from invalid rows, write both.
 
-A map-only job: no shuffle between the read and the writes. The parent is
-persisted so the valid and invalid writes do not hash the texts twice.
+A map-only job: no shuffle between the read and the writes. Only the valid
+write hashes texts; the counts come from what was written.
 """
 
 from __future__ import annotations

@@ -384,16 +384,16 @@ def build(inputs: ScreeningInputs, materialize=None) -> ScreeningOutputs:
     )
 
 
-# File stem and format of each output, as the screening workflow writes them.
+# File stem and format of each output.
 OUTPUT_FILES = {
-    "cell_binary": ("toxcast_cellbased_binary", "parquet"),
-    "cellfree_binary": ("toxcast_cellfree_binary", "parquet"),
-    "cytotox_binary": ("toxcast_cytotox_binary", "parquet"),
-    "cell_assay_info": ("toxcast_cellbased_assay_info", "csv"),
-    "cellfree_assay_info": ("toxcast_cellfree_assay_info", "csv"),
-    "cell_assay_hits": ("toxcast_cellbased_assay_hits", "parquet"),
-    "cellfree_assay_hits": ("toxcast_cellfree_assay_hits", "parquet"),
-    "cytotox_hits": ("toxcast_cytotox_assay_hits", "parquet"),
+    "cell_binary": ("cell_matrix", "parquet"),
+    "cellfree_binary": ("cellfree_matrix", "parquet"),
+    "cytotox_binary": ("cytotox_matrix", "parquet"),
+    "cell_assay_info": ("cell_info", "csv"),
+    "cellfree_assay_info": ("cellfree_info", "csv"),
+    "cell_assay_hits": ("cell_hits", "parquet"),
+    "cellfree_assay_hits": ("cellfree_hits", "parquet"),
+    "cytotox_hits": ("cytotox_hits", "parquet"),
 }
 
 

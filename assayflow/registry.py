@@ -343,12 +343,12 @@ def compound_lists(spark, folder):
 
 @query
 def standardize_text(spark, folder):
-    return standardize.standardize(Tables(spark, folder).documents_as_structures())
+    return _standardize(Tables(spark, folder).documents_as_structures())
 
 
 @query
 def standardize_single_pass(spark, folder):
-    return standardize.standardize(Tables(spark, folder).documents_as_structures(), method="single_pass")
+    return _standardize(Tables(spark, folder).documents_as_structures(), method="single_pass")
 
 
 @query
@@ -358,7 +358,7 @@ def standardize_augment(spark, folder):
 
 @query
 def standardize_augment_distinct_first(spark, folder):
-    return standardize.standardize(Tables(spark, folder).drug_structures(), augment=True, distinct_first=True)
+    return _standardize(Tables(spark, folder).drug_structures(), augment=True, distinct_first=True)
 
 
 @query
@@ -375,24 +375,26 @@ def left_join_renamed_key(spark, folder):
 
 @query
 def standardize_fixpoint_trailing(spark, folder):
-    return standardize.standardize(
-        Tables(spark, folder).documents_as_structures(), normalizer=text.drop_trailing(".")
-    )
+    return _standardize(Tables(spark, folder).documents_as_structures(), normalizer=text.drop_trailing("."))
 
 
 @query
 def standardize_fixpoint_reverse(spark, folder):
     names = Tables(spark, folder).raw("part").select(F.col("p_name").alias("SMILES"))
-    return standardize.standardize(names, normalizer=text.reverse_text)
+    return _standardize(names, normalizer=text.reverse_text)
 
 
 @query
 def standardize_fixpoint_rotate(spark, folder):
-    return standardize.standardize(Tables(spark, folder).documents_as_structures(), normalizer=text.rotate_left)
+    return _standardize(Tables(spark, folder).documents_as_structures(), normalizer=text.rotate_left)
+
+
+def _standardize(df, **options):
+    return standardize.standardize(df, check_nonempty=False, **options)
 
 
 def _standardized_structures(spark, folder, faults=False):
-    return standardize.standardize(Tables(spark, folder).drug_structures(faults), augment=True)
+    return _standardize(Tables(spark, folder).drug_structures(faults), augment=True)
 
 
 # ---------------------------------------------------------------------------

@@ -107,3 +107,33 @@ def test_skew_safe_hit_stats_keeps_groups_without_hits(spark):
     )
     out = {(r.chid, r.cell): (r.ntested, r.nhit, r.cytotox_median_ac50) for r in agg.hit_stats_skew_safe(df, ["chid", "cell"]).collect()}
     assert out == {(1, "x"): (3, 2, 2.5), (2, None): (1, 0, None)}
+
+
+def test_median_and_numbering_do_not_need_exchange_reuse(spark):
+    from assayflow.operators.chunking import number_rows
+
+    rows = spark.range(60000).select(
+        F.when(F.col("id") % 3 > 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string")).alias("g"),
+        F.when(F.col("id") % 13 > 0, ((F.col("id") * 7919) % 60013 - 20000) / 7.0).alias("v"),
+        (F.col("id") % 4 > 0).cast("int").alias("hit"),
+    )
+    spark.conf.set("spark.sql.exchange.reuse", "false")
+    try:
+        want = {r.g: tuple(r)[1:] for r in agg.hit_stats(rows, ["g"], "hit", "v").collect()}
+        got = {r.g: tuple(r)[1:] for r in agg.hit_stats_skew_safe(rows, ["g"], "hit", "v").collect()}
+        assert got == want
+        ids = spark.range(300000).select(((F.col("id") * 7919) % 300007).alias("k"))
+        numbered = number_rows(ids, "k", partitions=6)
+        assert numbered.agg(F.countDistinct("row_index"), F.max("row_index")).first()[:] == (300000, 300000)
+        places = [r.k for r in numbered.orderBy("row_index").limit(1000).collect()]
+        assert places == sorted(places)
+    finally:
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_median_of_extreme_values(spark):
+    inf, nan = float("inf"), float("nan")
+    values = {"a": [-inf, 1e-300, inf], "b": [inf, inf], "c": [-0.0, 0.0], "d": [1e308, -1e308], "e": [1.0, nan, nan]}
+    df = spark.createDataFrame([(g, v) for g, vs in values.items() for v in vs], "g string, v double")
+    got = {r.g: r.m for r in agg.exact_median(df, ["g"], "v", "m").collect()}
+    assert (got["a"], got["b"], got["c"], got["d"]) == (1e-300, inf, 0.0, 0.0) and got["e"] != got["e"]

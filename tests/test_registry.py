@@ -29,6 +29,21 @@ def test_parameter_filter_reaches_the_scan(spark):
     assert "l_linestatus" not in plan  # column pruning: unused columns are not read
 
 
+def test_building_a_query_starts_no_job(spark, monkeypatch):
+    from assayflow.registry import QUERIES
+    from assayflow.sources.bindings import TABLES, Tables
+
+    frames = {name: spark.read.parquet(f"{SMOKE}/{name}.parquet") for name in TABLES}  # reads the schemas
+    monkeypatch.setattr(Tables, "raw", lambda self, name: frames[name])
+    spark.sparkContext.setJobGroup("building", "registered queries")
+    try:
+        for name in set(QUERIES) - {"chunk_ids"}:  # its placed rows are written at once
+            QUERIES[name](spark, SMOKE)
+            assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building"), name
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_small_queries_run(spark):
     qs = entry.queries()
     for name in ["chunk_ids", "annotate_compounds", "standardize_augment", "fingerprint_invalid", "union_aligned"]:
