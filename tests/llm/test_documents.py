@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from assayflow.llm import bpe, language_id, lm_scoring, packing, quality, sharding, simhash, token_output
 from assayflow.llm.queries import word_bpe_path
@@ -193,6 +194,38 @@ def test_quality(spark, docs_table, no_docs):
     assert quality.classify(no_docs, trusted).count() == 0
 
 
+@pytest.fixture(scope="module")
+def many_trusted(spark, tmp_path_factory):
+    """24,000 short documents, all trusted, one in 200 of a rare language; and their labels."""
+    path = str(tmp_path_factory.mktemp("many") / "documents.parquet")
+    words = F.concat_ws(" ", *[F.substring(F.md5(F.concat("id", F.lit(k))), 1, 4) for k in "abcdef"])
+    lang = F.when(F.col("id") % 200 == 0, "rare").otherwise("hot")
+    spark.range(24_000).select(F.col("id").alias("doc_id"), words.alias("text"), lang.alias("lang")).write.parquet(path)
+    docs = spark.read.parquet(path)
+    return docs, docs.select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+
+
+def test_quality_thresholds_of_all_left_out(many_trusted):
+    docs, labels = many_trusted
+    found = quality.classify(docs, labels).join(quality.trusted(labels).where("not counted"), "doc_id", "left_semi").collect()
+    hot = np.sort([r["perplexity"] for r in found if r["lang"] == "hot"])
+    limit = next(r["threshold"] for r in found if r["lang"] == "hot") / quality.MARGIN
+    assert limit == hot[int(np.ceil(quality.QUANTILE * len(hot))) - 1]
+    rare = [r["perplexity"] for r in found if r["lang"] == "rare"]
+    assert 20 <= len(rare) < 1000
+    assert next(r["threshold"] for r in found if r["lang"] == "rare") / quality.MARGIN > max(rare) * 1.001
+
+
+def test_quality_limit_of_few_documents(spark):
+    assert [quality.student(0.999, n) for n in (4, 10, 100)] == pytest.approx([7.173, 4.144, 3.174], rel=0.01)
+    rows = [("many", 2.0 + i / 10_000) for i in range(2000)] + [("few", 4.0 * 1.1 ** (i % 3)) for i in range(12)] + [("one", 90.0)]
+    limits, common = quality.thresholds(spark.createDataFrame(rows, "lang string, perplexity double"))
+    assert limits["many"] == pytest.approx(2.1997 * quality.MARGIN, abs=0.001) and "one" not in limits
+    logs = np.log([x for lang, x in rows if lang == "few"])
+    want = np.exp(logs.mean() + 4.025 * logs.std(ddof=1) * np.sqrt(1 + 1 / 12))
+    assert limits["few"] == pytest.approx(want * quality.MARGIN, rel=0.01)
+
+
 def test_quality_model_sums_to_one(spark):
     model = quality.train(spark.createDataFrame([("abracadabra banana",), ("cabana",)], "text string"))
     at = {r["shard"]: bytes(r["counts"]) for r in model.table.collect()}
