@@ -49,17 +49,19 @@ def shard_count(spark: SparkSession) -> int:
     return 1 << max(6, math.ceil(math.log2(int(spark.conf.get("spark.sql.shuffle.partitions")))))
 
 
-def pack(keys: np.ndarray, counts: np.ndarray) -> bytes:
+def pack(keys: np.ndarray, counts: np.ndarray, kind: str = "<u4") -> bytes:
     """Sorted keys and their counts, small: differences by byte plane."""
-    planes = [np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T, counts.astype("<u4").view(np.uint8).reshape(-1, 4).T]
+    size = np.dtype(kind).itemsize
+    planes = [np.diff(keys, prepend=np.uint64(0)).view(np.uint8).reshape(-1, 8).T, counts.astype(kind).view(np.uint8).reshape(-1, size).T]
     return zstandard.compress(b"".join(np.ascontiguousarray(x).tobytes() for x in planes), 1)
 
 
-def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+def unpack(blob: bytes, kind: str = "<u4") -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(zstandard.decompress(blob), np.uint8)
-    n = len(raw) // 12
+    size = np.dtype(kind).itemsize
+    n = len(raw) // (8 + size)
     keys = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view(np.uint64).ravel()
-    return np.cumsum(keys, dtype=np.uint64), np.ascontiguousarray(raw[8 * n :].reshape(4, n).T).view("<u4").ravel()
+    return np.cumsum(keys, dtype=np.uint64), np.ascontiguousarray(raw[8 * n :].reshape(size, n).T).view(kind).ravel()
 
 
 def _merged(table: pa.Table, name: str = "blob") -> tuple[np.ndarray, np.ndarray]:

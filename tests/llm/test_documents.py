@@ -210,12 +210,25 @@ def test_quality_thresholds_of_all_left_out(many_trusted):
     found = quality.classify(docs, labels).join(quality.trusted(labels).where("not counted"), "doc_id", "left_semi").collect()
     hot = np.sort([r["perplexity"] for r in found if r["lang"] == "hot"])
     limit = next(r["threshold"] for r in found if r["lang"] == "hot") / quality.MARGIN
-    assert limit == hot[int(np.ceil(quality.QUANTILE * len(hot))) - 1]
+    assert limit == pytest.approx(hot[int(np.ceil(quality.QUANTILE * len(hot))) - 1], rel=1e-12)
     rare = [r["perplexity"] for r in found if r["lang"] == "rare"]
     assert 20 <= len(rare) < 1000
     assert next(r["threshold"] for r in found if r["lang"] == "rare") / quality.MARGIN > max(rare) * 1.001
 
 
+def test_quality_counts_all_trusted_documents(many_trusted, monkeypatch):
+    docs, labels = many_trusted
+    learned, train = [], quality.train
+    monkeypatch.setattr(quality, "train", lambda texts: learned.append(texts.count()) or train(texts))
+    quality.classify(docs, labels)
+    assert 17_500 < learned[0] < 18_500  # three quarters
+
+
+def test_quality_counts_beyond_32_bits():
+    keys, counts = np.array([3, 9], np.uint64), np.array([7, 5 << 32], np.int64)
+    assert [x.tolist() for x in quality.unpack(quality.pack(keys, counts, "<u8"), "<u8")] == [[3, 9], [7, 5 << 32]]
+
+
 def test_quality_limit_of_few_documents(spark):
     assert [quality.student(0.999, n) for n in (4, 10, 100)] == pytest.approx([7.173, 4.144, 3.174], rel=0.01)
     rows = [("many", 2.0 + i / 10_000) for i in range(2000)] + [("few", 4.0 * 1.1 ** (i % 3)) for i in range(12)] + [("one", 90.0)]
