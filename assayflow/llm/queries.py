@@ -21,7 +21,7 @@ def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
     docs, labels = _table(spark, folder, "documents"), _table(spark, folder, "labels")
-    return quality.classify(docs, labels).select("doc_id", "lang", "n_bytes", "perplexity", "threshold", "keep")
+    return quality.classify(docs, labels).select("doc_id", "lang", "n_bytes", "perplexity", "threshold_low", "threshold", "keep")
 
 
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:

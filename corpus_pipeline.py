@@ -22,7 +22,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents whose perplexity is within their language's threshold; texts without a word go."""
+    """Documents whose perplexity is within their language's limits; texts without a word go."""
     return quality.filter_documents(docs.select(*COLUMNS), spark.read.parquet(f"{folder}/labels.parquet"))
 
 

@@ -209,11 +209,24 @@ def test_quality_thresholds_of_all_left_out(many_trusted):
     docs, labels = many_trusted
     found = quality.classify(docs, labels).join(quality.trusted(labels).where("not counted"), "doc_id", "left_semi").collect()
     hot = np.sort([r["perplexity"] for r in found if r["lang"] == "hot"])
-    limit = next(r["threshold"] for r in found if r["lang"] == "hot") / quality.MARGIN
-    assert limit == pytest.approx(hot[int(np.ceil(quality.QUANTILE * len(hot))) - 1], rel=1e-12)
+    low, high = next((r["threshold_low"], r["threshold"]) for r in found if r["lang"] == "hot")
+    assert high == pytest.approx(hot[int(np.ceil(quality.QUANTILE * len(hot))) - 1], rel=1e-12)
+    assert low == pytest.approx(hot[int(np.ceil((1 - quality.QUANTILE) * len(hot))) - 1], rel=1e-12)
     rare = [r["perplexity"] for r in found if r["lang"] == "rare"]
     assert 20 <= len(rare) < 1000
-    assert next(r["threshold"] for r in found if r["lang"] == "rare") / quality.MARGIN > max(rare) * 1.001
+    low, high = next((r["threshold_low"], r["threshold"]) for r in found if r["lang"] == "rare")
+    assert low < min(rare) and high > max(rare)
+
+
+def test_quality_rejects_on_both_sides(many_trusted, spark):
+    docs, labels = many_trusted
+    junk = [(-1, "00 " * 400, "hot"), (-2, "ÄÖÜ?! " * 5, "hot")]
+    path = docs.inputFiles()[0].rsplit("/", 1)[0] + "-and-junk"
+    docs.union(spark.createDataFrame(junk, docs.schema)).write.mode("overwrite").parquet(path)
+    found = {r["doc_id"]: r for r in quality.classify(spark.read.parquet(path), labels).collect()}
+    assert found[-1]["perplexity"] < found[-1]["threshold_low"] and found[-2]["perplexity"] > found[-2]["threshold"]
+    assert not found[-1]["keep"] and not found[-2]["keep"]
+    assert sum(r["keep"] for r in found.values()) > 0.99 * 24_000
 
 
 def test_quality_counts_all_trusted_documents(many_trusted, monkeypatch):
@@ -233,10 +246,10 @@ def test_quality_limit_of_few_documents(spark):
     assert [quality.student(0.999, n) for n in (4, 10, 100)] == pytest.approx([7.173, 4.144, 3.174], rel=0.01)
     rows = [("many", 2.0 + i / 10_000) for i in range(2000)] + [("few", 4.0 * 1.1 ** (i % 3)) for i in range(12)] + [("one", 90.0)]
     limits, common = quality.thresholds(spark.createDataFrame(rows, "lang string, perplexity double"))
-    assert limits["many"] == pytest.approx(2.1997 * quality.MARGIN, abs=0.001) and "one" not in limits
+    assert limits["many"] == pytest.approx((2.0002, 2.1997), abs=0.0003) and "one" not in limits
     logs = np.log([x for lang, x in rows if lang == "few"])
-    want = np.exp(logs.mean() + 4.025 * logs.std(ddof=1) * np.sqrt(1 + 1 / 12))
-    assert limits["few"] == pytest.approx(want * quality.MARGIN, rel=0.01)
+    reach = 4.025 * logs.std(ddof=1) * np.sqrt(1 + 1 / 12)
+    assert limits["few"] == pytest.approx(np.exp([logs.mean() - reach, logs.mean() + reach]), rel=0.01)
 
 
 def test_quality_model_sums_to_one(spark):
