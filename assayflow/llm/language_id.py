@@ -105,13 +105,14 @@ class LanguageModel:
     def __init__(self, names: list[str], probabilities: np.ndarray):
         self.names, self.probabilities = names, probabilities
 
-    def proportions(self, block: Block) -> np.ndarray:
-        """Language weights of each document of the block (a zero row for an empty text)."""
+    def proportions(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Language weights of each document of the block (a zero row for an empty text), and the mean
+        log likelihood of its trigrams under that mixture."""
         bucket, counts, offsets = _trigram_counts(block)
         docs, langs = len(block), len(self.names)
         theta = np.zeros((docs, langs))
         if not langs:
-            return theta
+            return theta, np.zeros(docs)
         lik = self.probabilities.T[bucket].astype(np.float64)
         counts = counts.astype(np.float64)
         total = segment_sums(counts, offsets)
@@ -124,7 +125,7 @@ class LanguageModel:
             if not len(open_):
                 break
             open_ = self._grow(open_, lik, counts, offsets, total, theta, loglik)
-        return theta
+        return theta, loglik / np.maximum(total, 1)
 
     @staticmethod
     def _grow(open_, lik, counts, offsets, total, theta, loglik) -> np.ndarray:
@@ -174,16 +175,17 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 
 
 def mixtures(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataFrame:
-    """The documents, every column kept, with ``lang_pred``, ``score`` and ``lang_mix``.
+    """The documents, every column kept, with ``lang_pred``, ``score``, ``lang_mix`` and ``lang_fit``.
 
     ``lang_pred`` is the language with the largest weight, ``score`` that weight and
-    ``lang_mix`` the text ``name:weight`` of the chosen languages, largest first.
+    ``lang_mix`` the text ``name:weight`` of the chosen languages, largest first; ``lang_fit`` is
+    the mean log likelihood of the text's trigrams under the mixture (null without one).
     Columns of these names are replaced."""
-    own = ["lang_pred", "score", "lang_mix", "__letters"]
+    own = ["lang_pred", "score", "lang_mix", "lang_fit", "__letters"]
     kept = docs.drop(*own)
     source = kept.withColumn("__letters", F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False)))
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields)
-    schema += ", lang_pred string, score double, lang_mix string"
+    schema += ", lang_pred string, score double, lang_mix string, lang_fit double"
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -191,7 +193,7 @@ def mixtures(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
             kept = [(i, name) for i, name in enumerate(batch.schema.names) if name != "__letters"]
             for block in blocks(batch.column(text)):
                 names, scores, mixes = [], [], []
-                theta = model.proportions(block)
+                theta, fit = model.proportions(block)
                 theta[~letters[block.first : block.last]] = 0
                 for row in theta:
                     order = [i for i in np.argsort(-row, kind="stable") if row[i] > 0]
@@ -200,15 +202,22 @@ def mixtures(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
                     mixes.append(" ".join(f"{model.names[i]}:{row[i]:.4f}" for i in order))
                 part = batch.slice(block.first, len(block))
                 yield pa.RecordBatch.from_arrays(
-                    [*[part.column(i) for i, _ in kept], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(mixes, pa.string())],
-                    [*[name for _, name in kept], "lang_pred", "score", "lang_mix"],
+                    [*[part.column(i) for i, _ in kept], pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(mixes, pa.string()), pa.array(fit, mask=~theta.any(axis=1))],
+                    [*[name for _, name in kept], "lang_pred", "score", "lang_mix", "lang_fit"],
                 )
 
     return source.mapInArrow(predict, schema)
 
 
+def least_fits(docs: DataFrame, model: LanguageModel, quantile: float) -> dict[str, float]:
+    """For each language, a low quantile of ``lang_fit`` over all documents labelled with it."""
+    fits = mixtures(docs.where("lang is not null").select("text", "lang"), model).where("lang_fit is not null").groupBy("lang")
+    found = fits.agg(F.percentile_approx("lang_fit", quantile, 100_000).alias("least"))
+    return {r["lang"]: r["least"] for r in found.collect()}  # a row for each language
+
+
 def identify(docs: DataFrame, modulus: int = 4, remainder: int = 2) -> DataFrame:
     """Predictions for all documents by a model of those outside the held-out part."""
     rows = docs.select("doc_id", "text", "lang").withColumn("held_out", held_out(F.col("doc_id"), modulus, remainder))
     model = train(rows.where(~F.col("held_out")))
-    return mixtures(rows.select("doc_id", "text", "held_out"), model).drop("text")
+    return mixtures(rows.select("doc_id", "text", "held_out"), model).drop("text", "lang_fit")

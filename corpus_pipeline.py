@@ -15,8 +15,8 @@ from assayflow.llm import language_id, packing, quality, simhash
 from assayflow.llm.queries import word_bpe_path
 from assayflow.llm.shared import staged
 
-#: The least share of its main language that a document needs to stay.
-LEAST_SHARE = 0.3
+#: The share of a language's labelled documents that fit its trigrams worst; a text that fits worse than all others goes.
+LEAST_FIT = 0.001
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -27,9 +27,19 @@ def quality_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFram
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents with a determined main language, which fills a null ``lang``; texts without a letter go."""
-    found = language_id.mixtures(docs.select(*COLUMNS), language_id.train(docs))
-    found = found.where((F.col("lang_pred") != language_id.UNDETERMINED) & (F.col("score") >= LEAST_SHARE))
+    """Documents that fit the language mixture found for them, by the labelled documents of their main language.
+
+    The main language fills a null ``lang``; texts without a letter go. If no language can be learned
+    (``lang`` is always null), all texts with a letter stay as they are."""
+    docs = docs.select(*COLUMNS)
+    model = language_id.train(docs)
+    if not model.names:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
+    least = language_id.least_fits(docs, model, LEAST_FIT)
+    limits = F.create_map(*[F.lit(x) for item in sorted(least.items()) for x in item]) if least else F.create_map().cast("map<string,double>")
+    limit = F.try_element_at(limits, F.col("lang_pred"))
+    found = language_id.mixtures(docs, model).where(F.col("lang_pred") != language_id.UNDETERMINED)
+    found = found.where(limit.isNull() | (F.col("lang_fit") >= limit))
     return found.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*COLUMNS)
 
 

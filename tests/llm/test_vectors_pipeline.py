@@ -96,3 +96,16 @@ def test_pipeline_stages(spark, docs_table, tmp_dir):
     assert len(ids) == len(set(ids)) and 0 < len(ids) < 62
     packed = corpus_pipeline.run(spark, tmp_dir)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == set(ids)
+
+
+def test_language_stage(spark, docs_table, tmp_dir):
+    import corpus_pipeline
+
+    docs = docs_table.selectExpr("doc_id", "text", "lang", "'s' source", "length(text) n_chars")
+    odd = [(900, "xqzj wvkq zzxq jjqx " * 30, None, "s", 600), (901, "the lazy dog runs away from the wolf", None, "s", 36)]
+    docs.union(spark.createDataFrame(odd, docs.schema)).write.parquet(f"{tmp_dir}/mixed")
+    kept = {r["doc_id"]: r["lang"] for r in corpus_pipeline.language_stage(spark, spark.read.parquet(f"{tmp_dir}/mixed"), tmp_dir).collect()}
+    assert 900 not in kept and kept[901] == kept[104] == "en" and set(range(60)) <= set(kept)
+    docs.selectExpr("doc_id", "text", "cast(null as string) lang", "source", "n_chars").write.parquet(f"{tmp_dir}/none")
+    kept = corpus_pipeline.language_stage(spark, spark.read.parquet(f"{tmp_dir}/none"), tmp_dir).collect()
+    assert len(kept) == 63 and all(r["lang"] is None for r in kept)
