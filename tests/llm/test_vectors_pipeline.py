@@ -5,6 +5,7 @@ import random
 from collections import defaultdict
 
 import numpy as np
+import pytest
 
 from assayflow.llm import embed_dedup, topk
 from assayflow.llm.components import components
@@ -48,6 +49,20 @@ def test_embedding_links(spark):
     assert embed_dedup.near_duplicates(frame.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dim", [64, 100])
+def test_embedding_links_of_planted_pairs(spark, dim):
+    rng = np.random.default_rng(dim)
+    x, z = rng.standard_normal((2, 500, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    cosine = rng.uniform(0.9801, 0.985, (500, 1))
+    both = np.concatenate([x, cosine * x + np.sqrt(1 - cosine**2) * z]).astype(np.float32)
+    rows = [(i, v.tolist(), 0, i) for i, v in enumerate(both)]
+    links = sum(r["n_links"] for r in embed_dedup.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert 900 <= links <= 1000
+
+
 def test_top_k(spark):
     rows, frame = _vectors(spark)
     found = defaultdict(list)
