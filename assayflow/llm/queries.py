@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, embed_dedup, language_id, lm_scoring, packing, quality, sharding, simhash, token_output, topk
+from . import bpe, embed_dedup, language_id, lm_scoring, packing, quality, sharding, simhash, token_output, topk, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -80,6 +80,13 @@ def op10_token_output(spark: SparkSession, folder: str) -> DataFrame:
     return token_output.materialise(docs, word_bpe_path(), ORDER_KEY).drop("file")
 
 
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filters.judge(_table(spark, folder, "pages"), url_filters.rule_table(spark, URL_RULES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -91,6 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_top_k": op8_top_k,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_output": op10_token_output,
+    "op11_url_filters": op11_url_filters,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
@@ -112,6 +120,25 @@ ORACLE: dict[str, str] = {
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
     """,
+    "op11_url_filters": """
+        WITH rules(host, path, verdict) AS (
+            VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+        ), rest AS (
+            SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages
+        ), parts AS (
+            SELECT page_id,
+                   translate(regexp_extract(r, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+                   regexp_extract(r, '^[^/?#]*([^?#]*)', 1) AS path
+            FROM rest
+        ), found AS (
+            SELECT p.host, p.path, max(ROW(length(u.host) + length(u.path), length(u.host), u.host || u.path, u.verdict)) AS best
+            FROM (SELECT DISTINCT host, path FROM parts) p JOIN rules u
+              ON (p.host = u.host OR ends_with(p.host, '.' || u.host)) AND starts_with(p.path, u.path)
+            GROUP BY p.host, p.path
+        )
+        SELECT page_id, p.host, p.path, best[3] AS rule, coalesce(best[4], 'allow') AS verdict
+        FROM parts p LEFT JOIN found f ON p.host = f.host AND p.path = f.path
+    """,
     "op7_sharding": f"""
         WITH hashed AS (
             SELECT doc_id, coalesce(strlen(text), 0) AS bytes,
