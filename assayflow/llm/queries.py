@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, embed_dedup, language_id, lm_scoring, packing, quality, sharding, simhash, token_output, topk, url_filters
+from . import bpe, embed_dedup, language_id, lm_scoring, packing, quality, repair, sharding, simhash, token_output, topk, url_filters
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,6 +87,30 @@ def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge(_table(spark, folder, "pages"), url_filters.rule_table(spark, URL_RULES))
 
 
+def op13_damaged(rows: DataFrame) -> DataFrame:
+    """The rows with the contract's damage; a dropped row stays as one that is not ``present``."""
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    rows = rows.select("conv_id", "turn", "role", "text", (F.crc32(key.cast("binary")) % 20).alias("kind"))
+    role, text = F.coalesce("role", F.lit(" ")), F.coalesce("text", F.lit(" "))
+    rows = rows.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("kind") == 4, "user").otherwise(role).alias("role"),
+        F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate(text, ".!?", "")).otherwise(text).alias("text"),
+        (F.col("kind") != 0).alias("present"),
+        F.explode(F.sequence(F.lit(1), F.when(F.col("kind") == 3, 2).otherwise(1))).alias("copy"),
+    )
+    return rows.drop("copy")
+
+
+def op13_repair(spark: SparkSession, folder: str) -> DataFrame:
+    damaged = op13_damaged(_table(spark, folder, "conversations"))
+    audits, turns = repair.repair(damaged, F.col("present"))
+    digests = repair.digests(turns).withColumnRenamed("conv_id", "id")
+    names = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256"]
+    return audits.join(digests, F.col("conv_id").eqNullSafe(F.col("id"))).select("conv_id", *names)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -99,6 +123,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_output": op10_token_output,
     "op11_url_filters": op11_url_filters,
+    "op13_repair": op13_repair,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
