@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import bpe, embed_dedup, language_id, lm_scoring, packing, quality, repair, sharding, simhash, token_output, topk, url_filters
+from . import bpe, embed_dedup, language_id, lm_scoring, packing, prefix_trie, quality, repair, sharding, simhash, token_output, topk, url_filters
+from .shared import staged
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -87,6 +88,31 @@ def op11_url_filters(spark: SparkSession, folder: str) -> DataFrame:
     return url_filters.judge(_table(spark, folder, "pages"), url_filters.rule_table(spark, URL_RULES))
 
 
+def op12_rebuilt(rows: DataFrame) -> DataFrame:
+    """The contract's rebuilt conversations, as turns for ``prefix_trie.build``."""
+    turns = staged(prefix_trie.numbered(prefix_trie.digested(rows)), "turns")
+    convs = rows.where("conv_id is not null").select("conv_id").distinct()
+    convs = convs.select("conv_id", (F.col("conv_id") - F.col("conv_id") % 5).alias("base"), (F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9).alias("h"))
+    heads = turns.where("pos <= 8 and conv_id % 5 = 0").select(F.col("conv_id").alias("from"), "digest", "n_bytes", "pos")
+    # At most nine conversations share a base, and eight turns of it.
+    taken = convs.join(heads, (F.col("base") == F.col("from")) & (F.col("pos") <= F.col("h"))).select("conv_id", "digest", "n_bytes", "pos")
+    length = heads.groupBy("from").agg(F.count("*").alias("n_base"))
+    convs = convs.join(length, F.col("base") == F.col("from"), "left").select("conv_id", "h", F.least("h", F.coalesce("n_base", F.lit(0))).alias("n_taken"))
+    rest = turns.join(convs, "conv_id").where("pos > h").select("conv_id", "digest", "n_bytes", (F.col("pos") - F.col("h") + F.col("n_taken")).alias("pos"))
+    roots = convs.select("conv_id", F.lit(None).cast("string").alias("digest"), F.lit(None).cast("long").alias("n_bytes"), F.lit(0).cast("long").alias("pos"))
+    return roots.union(taken).union(rest)
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    nodes, ends = prefix_trie.build(op12_rebuilt(_table(spark, folder, "conversations")))
+    digests = prefix_trie.ends_digests(ends).withColumnRenamed("depth", "end_depth")
+    joined = nodes.join(digests, (F.col("conv_id") == F.col("node")) & (F.col("depth") == F.col("end_depth")), "left")
+    return joined.select(
+        "conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", "saved_tokens",
+        F.coalesce("ends_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("ends_sha256"),
+    )
+
+
 def op13_damaged(rows: DataFrame) -> DataFrame:
     """The rows with the contract's damage; a dropped row stays as one that is not ``present``."""
     key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
@@ -123,6 +149,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_token_output": op10_token_output,
     "op11_url_filters": op11_url_filters,
+    "op12_prefix_trie": op12_prefix_trie,
     "op13_repair": op13_repair,
 }
 
