@@ -82,14 +82,18 @@ def joined_distinct(value: str, sep: str = K.LIST_SEPARATOR) -> Column:
     return F.array_join(F.array_sort(F.collect_set(col(value).cast("string"))), sep)
 
 
-#: Buckets for each doubling of a value in ``hit_stats_skew_safe``.
-BUCKETS_PER_OCTAVE = 256
+#: Leading bits of a value's code that make its bucket, and those that make the part of a bucket.
+BUCKET_BITS, PART_BITS = 20, 40
 
+# What a row counts: a bucket, a part of a bucket or a value (grouping_id() of the three grouping sets).
+_BUCKET, _PART, _VALUE = 3, 1, 0
 
-def _value_bucket(v: Column) -> Column:
-    """A bucket number that never falls as ``v`` rises and depends on nothing but ``v`` (NaN, the largest, last)."""
-    size = F.floor(F.log2(F.abs(v) + 1.0) * BUCKETS_PER_OCTAVE)
-    return F.when(F.isnan(v), F.lit(1 << 40)).otherwise(F.when(v < 0, -size).otherwise(size))
+
+def order_code(value: Column) -> Column:
+    """A 64-bit integer that orders doubles as Spark does: by sign, exponent and mantissa, NaN last, both zeros equal."""
+    given = F.coalesce(value + F.lit(0.0), F.lit(0.0))  # the method takes no null
+    bits = F.java_method(F.lit("java.lang.Double"), F.lit("doubleToLongBits"), given).cast("long")
+    return F.when(value.isNotNull(), F.when(bits >= 0, bits).otherwise(bits.bitwiseXOR(F.lit((1 << 63) - 1))))
 
 
 def _count_values(df: DataFrame, keys: Sequence[str], value: Column, hits: Column, rows: Column) -> DataFrame:
@@ -106,63 +110,107 @@ def hit_values(df: DataFrame, keys: Sequence[str], hit: str = "hitcall", ac50: s
     return _count_values(df, keys, F.when(col(hit) == 1, col(ac50).cast("double")), col(hit), F.count(F.lit(1)))
 
 
+def bucket_counts(counted: DataFrame, keys: Sequence[str], carried: Sequence[str] = ()) -> DataFrame:
+    """Counts per group and bucket, part of a bucket, and value: one expand and one aggregate (GROUPING SETS)."""
+    code = counted.withColumn("__code", order_code(F.col("__v")))
+    code = code.withColumns({"__b": F.shiftright("__code", 64 - BUCKET_BITS), "__p": F.shiftright("__code", 64 - PART_BITS)})
+    group = [col(c) for c in [*keys, *carried]]
+    sets = [[*group, F.col("__b")], [*group, F.col("__b"), F.col("__p")], [*group, F.col("__b"), F.col("__p"), F.col("__v")]]
+    filled = F.when(F.col("__code").isNotNull(), F.col("__rows")).otherwise(F.lit(0))
+    return code.groupingSets(sets, *group, F.col("__b"), F.col("__p"), F.col("__v")).agg(
+        F.grouping_id().alias("__kind"),
+        F.sum("__rows").alias("__rows"),
+        F.sum("__hits").alias("__hits"),
+        F.sum(filled).alias("__c"),
+    )
+
+
 def hit_stats_from_values(
-    values: DataFrame, keys: Sequence[str], median_name: str = "cytotox_median_ac50"
+    values: DataFrame, keys: Sequence[str], median_name: str = "cytotox_median_ac50", carried: str | None = None
 ) -> DataFrame:
     """``hit_stats`` from ``hit_values``: rows tested, hits and exact median, no group held by one task.
 
-    ``F.median`` would merge a group's values in one task. Here the (group, value) counts get a
-    bucket that follows from the value alone; the buckets of a group are counted, the one or two
-    that hold the middle ranks found, and only their values ranked. All shuffles hash (group, value)
-    or (group, bucket), so a hot group is spread, and nothing depends on which task saw which row:
-    a second evaluation gives the same rows. A group has at most ``BUCKETS_PER_OCTAVE`` buckets for
-    each doubling of its values. Interpolates like ``F.median``; null without values.
+    ``F.median`` would merge a group's values in one task. Here the middle ranks are found by radix
+    selection on an order-preserving code of the values: the counts of a group's buckets (the leading
+    ``BUCKET_BITS`` of the code) tell which holds the middle rank, the counts of that bucket's parts
+    (``PART_BITS``) which part, and only inside parts are values ranked. A group's buckets
+    meet in one task, and so do a bucket's parts and a part's values; a hot group is
+    spread over all its parts. Every step is a window over what the step before shuffled: no part of
+    the plan is evaluated twice. Interpolates like ``F.median``; null without values.
+
+    ``carried`` names a column that is null but for rows that count nothing and only ask for
+    their group's figures: these rows are returned, with the figures (null if the group has no other row).
     """
     from pyspark.sql import Window
 
     k = list(keys)
-    counted = _count_values(values, k, F.col("__v"), F.col("__hits"), F.sum("__rows"))
-    counted = counted.withColumn("__b", _value_bucket(F.col("__v")))
-    filled = F.when(F.col("__v").isNotNull(), F.col("__rows")).otherwise(F.lit(0))
-    buckets = counted.groupBy(*[col(c) for c in k], "__b").agg(
-        F.sum("__rows").alias("__rows"), F.sum("__hits").alias("__hits"), F.sum(filled).alias("__c")
-    )
-    group = Window.partitionBy(*[col(c) for c in k])
-    upto = group.orderBy(F.col("__b").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-    n, pos = F.col("__n"), (F.col("__n") - 1).cast("double") * 0.5
-    buckets = buckets.select(
-        *[col(c).alias(f"__k{i}") for i, c in enumerate(k)],
-        F.col("__b").alias("__kb"),
-        F.sum("__rows").over(group).alias("ntested"),
-        F.sum("__hits").over(group).alias("nhit"),
-        F.sum("__c").over(group).alias("__n"),
-        (F.sum("__c").over(upto) - F.col("__c")).alias("__before"),
+    riders = [carried] if carried else []
+    if not carried:
+        values = _count_values(values, k, F.col("__v"), F.col("__hits"), F.sum("__rows"))
+    rows = bucket_counts(values, k, riders)
+    asks = col(carried).isNotNull() if carried else F.lit(False)
+    kind, b, part, c = F.col("__kind"), F.col("__b"), F.col("__p"), F.col("__c")
+    rows = rows.where((kind == _BUCKET) & ~asks | (kind == _PART) & b.isNotNull() | (kind == _VALUE) & (b.isNotNull() | asks))
+    group = [col(x) for x in k]
+    names = [*k, *riders]
+
+    # 1. Running counts: of buckets in a group, of parts in a bucket, of values in a part.
+    inside = Window.partitionBy(*group, "__kind", F.when(kind != _BUCKET, b), F.when(kind == _VALUE, part))
+    upto = inside.orderBy(b.asc_nulls_first(), part.asc_nulls_first(), "__v").rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.select(
+        *[col(x) for x in names],
+        "__kind",
+        "__b",
+        "__p",
+        "__v",
         "__c",
+        (F.sum("__c").over(upto) - c).alias("__before"),
+        F.row_number().over(inside.orderBy(b.asc_nulls_first(), part.asc_nulls_first(), "__v")).alias("__at"),
+        F.when(kind == _BUCKET, F.struct(F.sum("__rows").over(inside).alias("rows"), F.sum("__hits").over(inside).alias("hits"), F.sum("__c").over(inside).alias("n"))).alias("__all"),
     )
-    low, high = F.floor(pos) + 1, F.ceil(pos) + 1
-    middle = buckets.where(
-        (n == 0) | ((F.col("__c") > 0) & (F.col("__before") < high) & (F.col("__before") + F.col("__c") >= low))
-    )
-    found = counted.where(F.col("__v").isNotNull()).select(*[col(c) for c in k], "__b", "__v", F.col("__rows").alias("__m"))
-    same = [F.col(f"__k{i}").eqNullSafe(col(c)) for i, c in enumerate(k)] + [F.col("__kb") == F.col("__b")]
-    held = [F.col(f"__k{i}") for i in range(len(k))]
-    in_bucket = Window.partitionBy(*held, "__kb").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = middle.join(found, same, "left").withColumn("__last", F.col("__before") + F.sum("__m").over(in_bucket))
+
+    def middle(n: Column) -> Column:
+        """Whether the rows of this count hold one of the middle ranks (n + 1) div 2 and n div 2 + 1."""
+        return (c > 0) & (F.col("__before") < F.floor(n / 2) + 1) & (F.col("__before") + c >= F.floor((n + 1) / 2))
+
+    # 2. The middle buckets tell their parts, then the middle parts their values, what came before and n.
+    found = F.struct(F.col("__before").alias("before"), F.col("__all.n").alias("n"))
+    for above, within, below in ((_BUCKET, [b, F.when(kind == _VALUE, part)], _PART), (_PART, [b, part], _VALUE)):
+        told = F.when((kind == above) & middle(F.col("__all.n")), found)
+        place = Window.partitionBy(*group, *within)
+        rows = rows.withColumn("__told", F.max(told).over(place))
+        hit = kind == below
+        rows = rows.withColumns(
+            {
+                "__before": F.when(hit, F.col("__before") + F.col("__told.before")).otherwise(F.col("__before")),
+                "__all": F.when(hit, F.struct(F.lit(None).cast("long").alias("rows"), F.lit(None).cast("long").alias("hits"), F.col("__told.n").alias("n"))).otherwise(F.col("__all")),
+            }
+        )
+        asked = col(carried).isNotNull() if carried else F.lit(False)
+        rows = rows.where((kind == _BUCKET) | (kind == _VALUE) & (F.lit(below == _PART) | middle(F.col("__all.n")) | asked) | (kind == _PART) & middle(F.col("__all.n")))
+        if below == _VALUE:
+            rows = rows.where((kind == _VALUE) | (kind == _BUCKET) & (F.col("__at") == 1))
+
+    # 3. The figures of each group, on its one total row or on the rows that ask.
+    whole = Window.partitionBy(*group)
+    n = F.col("__all.n")
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("__last") >= rank) & (F.col("__last") - F.col("__m") < rank), F.col("__v")))
-
-    out = ranked.groupBy(*held).agg(
-        F.max("ntested").alias("ntested"),
-        F.max("nhit").alias("nhit"),
-        at(low).alias("__lo"),
-        at(high).alias("__hi"),
-        F.max(pos - F.floor(pos)).alias("__part"),
-    )
-    median = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo")).otherwise(
-        F.col("__lo") * (F.lit(1.0) - F.col("__part")) + F.col("__hi") * F.col("__part")
+        here = (kind == _VALUE) & (F.col("__before") < rank) & (F.col("__before") + c >= rank)
+        return F.max(F.when(here, F.col("__v"))).over(whole)
+
+    total = F.max(F.when(kind == _BUCKET, F.col("__all"))).over(whole)
+    out = rows.select(
+        *[col(x) for x in names],
+        "__kind",
+        total.alias("__total"),
+        at(F.floor((n + 1) / 2)).alias("__lo"),
+        at(F.floor(n / 2) + 1).alias("__hi"),
     )
-    return out.select(*[h.alias(c) for h, c in zip(held, k)], "ntested", "nhit", median.alias(median_name))
+    out = out.where(col(carried).isNotNull() if carried else kind == _BUCKET)
+    half = F.when(F.col("__total.n") % 2 == 0, F.lit(0.5)).otherwise(F.lit(0.0))
+    median = F.when(F.col("__lo") == F.col("__hi"), F.col("__lo")).otherwise(F.col("__lo") * (F.lit(1.0) - half) + F.col("__hi") * half)
+    return out.select(*[col(x) for x in names], F.col("__total.rows").alias("ntested"), F.col("__total.hits").alias("nhit"), median.alias(median_name))
 
 
 def hit_stats_skew_safe(

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from assayflow.operators.columns import col
+from assayflow.operators.columns import col, quote
 
 
 def _keys(key: str | Sequence[str]) -> list[str]:
@@ -95,3 +95,32 @@ def fallback_join(
         for c in values
     ]
     return out.where(col(tag_column).isNotNull()).select(*[col(c) for c in left_df.columns], *picked, col(tag_column))
+
+
+def fallback_stacked(
+    left_df: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    levels: Sequence[tuple[Sequence[str], str]],
+    level_column: str = "level",
+    tag_column: str = "source",
+) -> DataFrame:
+    """``fallback_join`` against one table of all levels, in one join and one aggregate.
+
+    ``levels`` lists ``(left columns, tag)`` from the finest to the coarsest; ``right`` has a row for each
+    level (its tag in ``level_column``) and ``keys``. Each left row asks for all its levels at once
+    and keeps the finest that answers; a null key gets no answer.
+    """
+    values = [c for c in right.columns if c not in (*keys, level_column)]
+    asks = [
+        F.struct(F.lit(tag).alias("__tag"), *[col(c).alias(f"__k{i}") for i, c in enumerate(cols)]) for cols, tag in levels
+    ]
+    # A left row keeps its identity, as equal rows are rows of their own (numbered before they are multiplied).
+    rows = left_df.select("*", F.monotonically_increasing_id().alias("__id")).select(F.struct("*").alias("__row"), F.array(*asks).alias("__asks"))
+    probes = rows.select("__row", F.posexplode("__asks").alias("__rank", "__ask"))
+    match = [probes["__ask.__tag"] == right[quote(level_column)]]
+    match += [probes[f"__ask.__k{i}"] == right[quote(k)] for i, k in enumerate(keys)]
+    answer = F.struct(F.col("__ask.__tag").alias("__tag"), *[right[quote(c)] for c in values])
+    best = probes.join(right, match).groupBy("__row").agg(F.min_by(answer, "__rank").alias("__best"))
+    own = [F.col(f"__row.{quote(c)}").alias(c) for c in left_df.columns]
+    return best.select(*own, *[F.col(f"__best.{quote(c)}").alias(c) for c in values], F.col("__best.__tag").alias(tag_column))

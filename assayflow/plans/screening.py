@@ -171,19 +171,25 @@ def hit_params_long(mc5_param: DataFrame) -> DataFrame:
 
 
 def hit_params_wide(mc5_param: DataFrame, endpoints: DataFrame | None = None) -> DataFrame:
-    """(m5id, aeid, ac50, hitcall); a second row for one cell fails the job."""
+    """(m5id, aeid, ac50, hitcall); a second row for one cell fails the job.
+
+    ``endpoints`` (one row for each ``aeid``) restricts the parameters; its other columns, if any, ride along."""
     params = hit_params_long(mc5_param)
+    keys = ["m5id", "aeid"]
     if endpoints is not None:
-        params = flt.semi_filter(params, endpoints, "aeid")
-    return pivot_known(params, ["m5id", "aeid"], "hit_param", "hit_val", K.HIT_PARAMS)
+        carried = [c for c in endpoints.columns if c != "aeid"]
+        params = joins.inner(params, endpoints, "aeid") if carried else flt.semi_filter(params, endpoints, "aeid")
+        keys += carried
+    return pivot_known(params, keys, "hit_param", "hit_val", K.HIT_PARAMS)
 
 
 def experiment_table(inputs: ScreeningInputs, endpoints: DataFrame | None = None) -> DataFrame:
     """Fits with concentrations, sample, chemical and pivoted parameters.
 
     The joins start from the parameters, so ``endpoints`` (a frame with ``aeid``)
-    restricts every fact-to-fact join. The source's semi-join of the parameters on the
-    fit ids is implied by the inner join on ``m5id`` and not written again.
+    restricts every fact-to-fact join; further columns of it become columns of the result.
+    The source's semi-join of the parameters on the fit ids is implied by the inner join on
+    ``m5id`` and not written again.
     """
     exp = joins.inner(hit_params_wide(inputs.mc5_param, endpoints), inputs.mc5.select("m5id", "m4id"), "m5id")
     exp = joins.inner(exp, inputs.mc4.select("m4id", "spid", "logc_max", "logc_min", "nconc"), "m4id")
@@ -200,41 +206,82 @@ def selected_endpoint_ids(eps: EndpointSets) -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def viability_results(exp: DataFrame, cell_viability: DataFrame) -> DataFrame:
-    v = cell_viability.select("aeid", "aid", "cell_viability_assay", "cell_short_name", "tissue")
-    v = joins.inner(v, exp, "aeid")
-    return v.withColumn("hitcall", rules.hit_flag("hitcall"))
+CELL, TISSUE = "cell_short_name", "tissue"
+_LEVEL_KEYS = ["chid", "__level", "__source"]
+
+
+def cell_endpoints(eps: EndpointSets) -> DataFrame:
+    """What the cytotox estimate needs of the viability and primary endpoints of cell-based assays."""
+    return eps.tagged.filter(F.col("branch").isin("viability", "other")).select("aeid", "branch", CELL, TISSUE)
 
 
-def viability_values(viability: DataFrame) -> DataFrame:
-    """Viability rows counted per compound, cell, tissue and AC50: what both levels are made from."""
-    return agg.hit_values(viability, ["chid", "cell_short_name", "tissue"])
+def cell_rows(inputs: ScreeningInputs, eps: EndpointSets) -> DataFrame:
+    """Results of viability and primary cell endpoints in one pass over the fits."""
+    return experiment_table(inputs, cell_endpoints(eps)).select("chid", "branch", CELL, TISSUE, "hitcall", "ac50")
 
 
-def hit_stats_by_cell(values: DataFrame) -> DataFrame:
-    return agg.hit_stats_from_values(values, ["chid", "cell_short_name"])
+def _level_values(rows: DataFrame) -> DataFrame:
+    """Viability rows counted per AC50 for each (chid, cell) and each (chid, tissue), and the (chid, cell,
+    tissue) keys of the primary rows, which ask for both: one expand and one aggregate (GROUPING SETS)."""
+    hit = rules.hit_flag("hitcall")
+    rows = rows.select("chid", CELL, TISSUE, "branch", hit.alias("__hit"), F.when(hit == 1, F.col("ac50").cast("double")).alias("__v"))
+    chid, cell, tissue, branch, v = (F.col(c) for c in ("chid", CELL, TISSUE, "branch", "__v"))
+    sets = [[chid, cell, branch, v], [chid, tissue, branch, v], [chid, cell, tissue, branch]]
+    counted = rows.groupingSets(sets, chid, cell, tissue, branch, v).agg(
+        F.grouping_id().alias("__set"), F.count("*").alias("__rows"), F.coalesce(F.sum("__hit"), F.lit(0)).cast("long").alias("__hits")
+    )
+    by_cell, by_tissue, keys = F.col("__set") == 0b00100, F.col("__set") == 0b01000, F.col("__set") == 0b00001
+    counted = counted.where((branch == "viability") & ~keys | (branch == "other") & keys)
+    key = F.struct(cell.alias("cell"), tissue.alias("tissue"))
+    no_key, none = F.lit(None).cast(counted.select(key.alias("k")).schema["k"].dataType), F.lit(None).cast("double")
+
+    def one(level: int, source, asks: bool):
+        figures = (none, F.lit(0).cast("long"), F.lit(0).cast("long"), key) if asks else (v, F.col("__rows"), F.col("__hits"), no_key)
+        names = ["__v", "__rows", "__hits", "__asks"]
+        return F.struct(F.lit(level).alias("__level"), source.alias("__source"), *[f.alias(n) for f, n in zip(figures, names, strict=True)])
+
+    out = (
+        F.when(by_cell, F.array(one(0, cell, False)))
+        .when(by_tissue, F.array(one(1, tissue, False)))
+        .otherwise(F.array(one(0, cell, True), one(1, tissue, True)))
+    )
+    return counted.select("chid", F.inline(out))
+
 
+def level_stats(rows: DataFrame) -> DataFrame:
+    """(chid, level, source) hit figures of the viability rows: level 0 is the cell, 1 the tissue."""
+    values = _level_values(rows.where(F.col("branch") == "viability")).drop("__asks")
+    return agg.hit_stats_from_values(values, _LEVEL_KEYS).withColumnsRenamed({"__level": "level", "__source": "source"})
 
-def hit_stats_by_tissue(values: DataFrame) -> DataFrame:
-    return agg.hit_stats_from_values(values, ["tissue", "chid"])
 
+def hit_stats_by_cell(levels: DataFrame) -> DataFrame:
+    return levels.where("level = 0").select("chid", F.col("source").alias(CELL), "ntested", "nhit", "cytotox_median_ac50")
 
-def cytotox_estimate(cell_results: DataFrame, by_cell: DataFrame, by_tissue: DataFrame) -> DataFrame:
-    """One estimate per (chid, cell_short_name, tissue) of the cell-based results.
 
-    Matched on (chid, cell_short_name) first; the rest on (chid, tissue);
-    ``cytotox_source`` names the level.
+def hit_stats_by_tissue(levels: DataFrame) -> DataFrame:
+    return levels.where("level = 1").select(F.col("source").alias(TISSUE), "chid", "ntested", "nhit", "cytotox_median_ac50")
+
+
+def cytotox_estimate(rows: DataFrame) -> DataFrame:
+    """One estimate per (chid, cell_short_name, tissue) of the primary rows of ``cell_rows``.
+
+    Matched on (chid, cell_short_name) first; the rest on (chid, tissue); ``cytotox_source`` names the
+    level. The keys travel with the counts and pick up their groups' figures where these are made,
+    so the fits are read once and neither level is planned apart.
     """
-    keys = cell_results.select("chid", "cell_short_name", "tissue").distinct()
-    est = joins.fallback_join(
-        keys,
-        [
-            (["chid", "cell_short_name"], by_cell, K.CYTOTOX_SOURCE_CELL),
-            (["chid", "tissue"], by_tissue, K.CYTOTOX_SOURCE_TISSUE),
-        ],
-        tag_column="cytotox_source",
+    asked = agg.hit_stats_from_values(_level_values(rows), _LEVEL_KEYS, carried="__asks")
+    found = asked.where(F.col("ntested").isNotNull() & F.col("__source").isNotNull())  # a null key matches nothing
+    figures = F.struct("ntested", "nhit", "cytotox_median_ac50", "__level")
+    best = found.groupBy("chid", "__asks").agg(F.min_by(figures, "__level").alias("best"))
+    return best.select(
+        "chid",
+        F.col("__asks.cell").alias(CELL),
+        F.col("__asks.tissue").alias(TISSUE),
+        F.col("best.ntested").alias("cytotox_ntested"),
+        F.col("best.nhit").alias("cytotox_nhit"),
+        "best.cytotox_median_ac50",
+        F.when(F.col("best.__level") == 0, F.lit(K.CYTOTOX_SOURCE_CELL)).otherwise(F.lit(K.CYTOTOX_SOURCE_TISSUE)).alias("cytotox_source"),
     )
-    return est.withColumnsRenamed({"ntested": "cytotox_ntested", "nhit": "cytotox_nhit"})
 
 
 # ---------------------------------------------------------------------------
@@ -267,15 +314,11 @@ def cell_hits(results: DataFrame) -> DataFrame:
     return select_ordered(results, K.CELL_HIT_COLUMNS).distinct()
 
 
-def cytotox_summary(by_cell: DataFrame, by_tissue: DataFrame) -> DataFrame:
-    """Both cytotox levels stacked, labelled, with the hit-share and dose rules applied."""
-    cell = by_cell.withColumn("cytotox_source_type", F.lit(K.CYTOTOX_TYPE_CELL)).withColumnRenamed(
-        "cell_short_name", "cytotox_source"
-    )
-    tissue = by_tissue.withColumn("cytotox_source_type", F.lit(K.CYTOTOX_TYPE_TISSUE)).withColumnRenamed(
-        "tissue", "cytotox_source"
-    )
-    proc = cell.select(*K.CYTOTOX_SUMMARY_COLUMNS).unionByName(tissue.select(*K.CYTOTOX_SUMMARY_COLUMNS))
+def cytotox_summary(levels: DataFrame) -> DataFrame:
+    """Both cytotox levels, labelled, with the hit-share and dose rules applied."""
+    kind = F.when(F.col("level") == 0, F.lit(K.CYTOTOX_TYPE_CELL)).otherwise(F.lit(K.CYTOTOX_TYPE_TISSUE))
+    proc = levels.withColumn("cytotox_source_type", kind).withColumnRenamed("source", "cytotox_source")
+    proc = proc.select(*K.CYTOTOX_SUMMARY_COLUMNS)
     proc = proc.withColumn("assay_label", rules.label("cytotox_source_type", "cytotox_source"))
     proc = proc.withColumn("percent_hit", rules.share("nhit", "ntested"))
     proc = proc.withColumn(
@@ -365,13 +408,10 @@ def build(inputs: ScreeningInputs, materialize=None) -> ScreeningOutputs:
     exp = experiment_table(inputs, selected_endpoint_ids(eps))
     if materialize is not None:
         exp = materialize(exp)
-    viab = viability_values(viability_results(exp, eps.cell_viability))
-    by_cell, by_tissue = hit_stats_by_cell(viab), hit_stats_by_tissue(viab)
-    other = cell_other_results(exp, eps.cell_other)
-    cyto = cytotox_estimate(other, by_cell, by_tissue)
-    cell = cell_results(other, cyto)
+    rows = joins.inner(exp.select("aeid", "chid", "hitcall", "ac50"), cell_endpoints(eps), "aeid")
+    cell = cell_results(cell_other_results(exp, eps.cell_other), cytotox_estimate(rows))
     cellfree = cellfree_results(exp, eps.cellfree)
-    proc = cytotox_with_chemical(cytotox_summary(by_cell, by_tissue), inputs.chemical)
+    proc = cytotox_with_chemical(cytotox_summary(level_stats(rows)), inputs.chemical)
     return ScreeningOutputs(
         cell_binary=wide(cell_binary_long(cell), ENDPOINT, "corr_hitcall"),
         cellfree_binary=wide(cellfree_binary_long(cellfree), ENDPOINT, "hitcall"),

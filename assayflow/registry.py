@@ -44,20 +44,23 @@ class _Screen:
         self.eps = S.endpoint_metadata(self.inputs)
         self.exp = S.experiment_table(self.inputs, S.selected_endpoint_ids(self.eps) if restrict else None)
 
-    def viability(self) -> DataFrame:
-        return S.viability_values(S.viability_results(self.exp, self.eps.cell_viability))
+    def rows(self) -> DataFrame:
+        return S.cell_rows(self.inputs, self.eps)
+
+    def levels(self) -> DataFrame:
+        return S.level_stats(self.rows())
 
     def by_cell(self) -> DataFrame:
-        return S.hit_stats_by_cell(self.viability())
+        return S.hit_stats_by_cell(self.levels())
 
     def by_tissue(self) -> DataFrame:
-        return S.hit_stats_by_tissue(self.viability())
+        return S.hit_stats_by_tissue(self.levels())
 
     def other(self) -> DataFrame:
         return S.cell_other_results(self.exp, self.eps.cell_other)
 
     def cytotox(self) -> DataFrame:
-        return S.cytotox_estimate(self.other(), self.by_cell(), self.by_tissue())
+        return S.cytotox_estimate(self.rows())
 
     def cell_results(self) -> DataFrame:
         return S.cell_results(self.other(), self.cytotox())
@@ -66,7 +69,7 @@ class _Screen:
         return S.cellfree_results(self.exp, self.eps.cellfree)
 
     def cytotox_proc(self) -> DataFrame:
-        return S.cytotox_with_chemical(S.cytotox_summary(self.by_cell(), self.by_tissue()), self.inputs.chemical)
+        return S.cytotox_with_chemical(S.cytotox_summary(self.levels()), self.inputs.chemical)
 
 
 # ---------------------------------------------------------------------------
@@ -177,11 +180,10 @@ def anti_join_two_keys(spark, folder):
 def fallback_join(spark, folder):
     s = _Screen(spark, folder)
     keys = s.other().select("chid", "cell_short_name", "tissue").distinct()
-    return joins.fallback_join(
-        keys,
-        [(["chid", "cell_short_name"], s.by_cell(), "cell"), (["chid", "tissue"], s.by_tissue(), "tissue")],
-        tag_column="level",
-    )
+    levels = s.levels().withColumn("level", F.when(F.col("level") == 0, "cell").otherwise("tissue"))
+    asked = [(["chid", "cell_short_name"], "cell"), (["chid", "tissue"], "tissue")]
+    found = joins.fallback_stacked(keys, levels, ["chid", "source"], asked, tag_column="level_")
+    return found.withColumnRenamed("level_", "level")
 
 
 @query
@@ -298,10 +300,10 @@ def resolve_and_keep_columns(spark, folder):
 @query
 def union_strict(spark, folder):
     s = _Screen(spark, folder)
-    cell = s.by_cell().withColumnRenamed("cell_short_name", "source").withColumn("level", F.lit("cell"))
-    tissue = s.by_tissue().withColumnRenamed("tissue", "source").withColumn("level", F.lit("tissue"))
+    levels = s.levels()
     order = ["chid", "level", "source", "ntested", "nhit", "cytotox_median_ac50"]
-    return cols.union_strict([cell.select(*order), tissue.select(*order)])
+    parts = [levels.where(F.col("level") == i).withColumn("level", F.lit(tag)) for i, tag in enumerate(["cell", "tissue"])]
+    return cols.union_strict([p.select(*order) for p in parts])
 
 
 @query
