@@ -3,9 +3,10 @@
 Features are the whitespace tokens of the text and their n-grams up to
 ``radius + 1`` tokens (the text analogue of atom environments up to a radius).
 Each feature is hashed to a bit: the first 7 hex digits of its MD5, modulo
-``n_bits``. Everything is a row-local array expression, so the job is a pure
-map over the input: no shuffle, no Python, and a long text costs time linear
-in its length.
+``n_bits``. The job is a pure map over the input: no shuffle, and a long text
+costs time linear in its length. Hashing a few bytes at a time is what it costs,
+so the features of a block of texts are hashed together, as Arrow batches
+(``operators.hashing``); texts are never taken apart row by row.
 
 Forms: ``on_bits`` (sorted distinct bit indices, the compact canonical form),
 ``packed`` (``ceil(n_bits/64)`` longs), ``dense`` (array of 0/1 bytes) and
@@ -15,77 +16,75 @@ wide table).
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayflow import constants as K
-from assayflow.functions.arrays import let, shift_left, shift_right
+from assayflow.operators import hashing
 
 
-def tokens(c: Column) -> Column:
-    return F.filter(F.split(c, r"\s+"), lambda t: t != F.lit(""))
-
-
-def ngrams(tok: Column, n: int) -> Column:
-    """Space-joined runs of ``n`` consecutive tokens (empty when there are fewer)."""
-    runs = F.transform(
-        F.sequence(F.lit(1), F.size(tok) - F.lit(n - 1)), lambda i: F.array_join(F.slice(tok, i, F.lit(n)), " ")
-    )
-    return F.when(F.size(tok) >= F.lit(n), runs).otherwise(F.array().cast("array<string>"))
-
+def on_bits(c: Column, radius: int = K.FINGERPRINT_RADIUS, n_bits: int = K.FINGERPRINT_BITS) -> Column:
+    """Sorted distinct set bits of the text; empty for a null text or one without tokens."""
 
-def feature_bit(feature: Column, n_bits: int) -> Column:
-    return (F.conv(F.substring(F.md5(feature), 1, 7), 16, 10).cast("long") % F.lit(n_bits)).cast("int")
+    @F.arrow_udf("array<int>")
+    def bits(texts: pa.Array) -> pa.Array:
+        return hashing.text_bits(texts, radius, n_bits)
 
+    return bits(c)
 
-def on_bits(c: Column, radius: int = K.FINGERPRINT_RADIUS, n_bits: int = K.FINGERPRINT_BITS) -> Column:
-    """Sorted distinct set bits of the text; empty for a null text or one without tokens.
 
-    The token array is bound once (``let``): the n-gram lambdas index into it
-    instead of splitting the text again for every position.
-    """
+def is_valid(c: Column) -> Column:
+    """A text is usable when it has at least one token."""
+    return F.coalesce(F.rlike(c, F.lit(r"\S")), F.lit(False))
 
-    def from_tokens(tok: Column) -> Column:
-        feats = F.flatten(F.array(*[ngrams(tok, n) for n in range(1, radius + 2)]))
-        return F.array_sort(F.array_distinct(F.transform(feats, lambda f: feature_bit(f, n_bits))))
 
-    return let(tokens(c), from_tokens)
+def _scattered(bits: pa.Array, n_bits: int) -> np.ndarray:
+    """One row of ``n_bits`` flags for each list of bit numbers."""
+    flags = np.zeros((len(bits), n_bits), bool)
+    lengths = np.diff(bits.offsets.to_numpy())
+    flags[np.repeat(np.arange(len(bits)), lengths), bits.flatten().to_numpy()] = True
+    return flags
 
 
-def is_valid(c: Column) -> Column:
-    """A text is usable when it has at least one token."""
-    return F.coalesce(F.size(tokens(c)) > F.lit(0), F.lit(False))
+def _lists(values: np.ndarray, rows: int) -> pa.Array:
+    width = values.size // rows if rows else 0
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1, dtype=np.int32) * width), pa.array(values.ravel()))
 
 
 def packed(bits: Column, n_bits: int = K.FINGERPRINT_BITS) -> Column:
     """Set bits packed into ``ceil(n_bits/64)`` longs (bit k in word k div 64, position k mod 64)."""
     words = (n_bits + 63) // 64
-    zero = F.array_repeat(F.lit(0).cast("long"), words)
 
-    def add(acc: Column, b: Column) -> Column:
-        one = shift_left(F.lit(1).cast("long"), b.bitwiseAND(F.lit(63)))
-        return F.transform(acc, lambda w, i: F.when(i == F.shiftright(b, 6), w.bitwiseOR(one)).otherwise(w))
+    @F.arrow_udf("array<bigint>")
+    def pack(lists: pa.Array) -> pa.Array:
+        flags = _scattered(lists, 64 * words)
+        return _lists(np.packbits(flags, axis=1, bitorder="little").view("<i8"), len(lists))
 
-    return F.aggregate(bits, zero, add)
+    return pack(bits)
 
 
 def dense(bits: Column, n_bits: int = K.FINGERPRINT_BITS) -> Column:
-    """0/1 byte per bit position, from the packed words (bound once; constant work per position)."""
+    """0/1 byte per bit position."""
 
-    def unpack(words: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.lit(n_bits - 1)),
-            lambda k: shift_right(F.element_at(words, F.shiftright(k, 6) + 1), k.bitwiseAND(F.lit(63)))
-            .bitwiseAND(F.lit(1))
-            .cast("byte"),
-        )
+    @F.arrow_udf("array<tinyint>")
+    def unpack(lists: pa.Array) -> pa.Array:
+        return _lists(_scattered(lists, n_bits).view(np.int8), len(lists))
 
-    return let(packed(bits, n_bits), unpack)
+    return unpack(bits)
 
 
 def bitstring(vector: Column) -> Column:
     """The dense vector as a string of ``0``/``1`` characters."""
-    return F.array_join(F.transform(vector, lambda x: x.cast("string")), "")
+
+    @F.arrow_udf("string")
+    def joined(lists: pa.Array) -> pa.Array:
+        digits = lists.flatten().to_numpy().astype(np.uint8) + ord("0")
+        offsets = (lists.offsets.to_numpy() - lists.offsets[0].as_py()).astype(np.int32)
+        return pa.StringArray.from_buffers(len(lists), pa.py_buffer(offsets), pa.py_buffer(digits))
+
+    return joined(vector)
 
 
 def widen(df: DataFrame, vector: str, n_bits: int = K.FINGERPRINT_BITS, prefix: str = "morgan_") -> DataFrame:

@@ -8,8 +8,8 @@ outputs, and optionally carry the input's other columns along.
 Two physical shapes give the same rows:
 
 * the normalizer is a Column expression (default): it is evaluated in the
-  row's own projection, with no shuffle at all; duplicates of a value cost
-  one cheap evaluation each;
+  row's own projections, with no shuffle at all; duplicates of a value cost
+  a cheap evaluation or two each;
 * the normalizer is expensive (a ``pandas_udf`` around a Python library):
   ``distinct_first=True`` normalizes each distinct value once after one
   shuffle and joins the results back on the original value.
@@ -58,7 +58,34 @@ def row_safe(fn: Callable[[str], str | None]) -> Normalizer:
     def normalized(values: pd.Series) -> pd.Series:
         return pd.Series([one(v) for v in values], index=values.index, dtype=object)
 
-    return normalized
+    # Not to be repeated by the optimizer, e.g. in a filter on its result: it is the dear part.
+    return _PythonNormalizer(normalized.asNondeterministic())
+
+
+class _PythonNormalizer:
+    """A normalizer that Spark evaluates for whole batches: no lambda variable can reach it."""
+
+    def __init__(self, udf: Normalizer):
+        self.udf = udf
+
+    def __call__(self, c: Column) -> Column:
+        return self.udf(c)
+
+
+def _decided(x: Column, outs: list[Column]) -> Column:
+    """The result of the rounds ``outs`` on ``x``; a round after the value settled is null."""
+    arr = F.array(*outs)
+    ranked = F.transform(
+        arr,
+        lambda v, i: F.struct((-F.size(F.filter(arr, lambda w: w == v))).alias("n"), i.alias("i"), v.alias("v")),
+    )
+    chain, before = None, x
+    for out in outs:
+        # Evaluated in order: where a round is reached, all before it gave a new value.
+        chain = F.when(out.isNull(), F.lit(None).cast("string")) if chain is None else chain.when(out.isNull(), F.lit(None).cast("string"))
+        chain = chain.when(out == before, out)
+        before = out
+    return chain.otherwise(F.array_min(ranked)["v"])
 
 
 def fixpoint(fn: Normalizer, c: Column, rounds: int = K.FIXPOINT_ROUNDS) -> Column:
@@ -66,34 +93,38 @@ def fixpoint(fn: Normalizer, c: Column, rounds: int = K.FIXPOINT_ROUNDS) -> Colu
 
     Stops at the first round whose output equals its input and returns it.
     Otherwise returns the most frequent of the ``rounds`` outputs, a tie going
-    to the output seen first. Null if any round yields null. Written with
-    array functions (no UDF): each round's output is bound once as a lambda
-    variable (``let``), the outputs form an array, each is ranked by
-    (-occurrences, position), and the minimum wins.
+    to the output seen first. Null if any round yields null. Each round's output is bound once as a
+    lambda variable (``let``), and a round is evaluated only for a value that the one before changed.
+    ``fn`` is a Column expression; for Python functions see ``fixpoint_rounds``.
     """
 
-    def decide(x: Column, outs: list[Column]) -> Column:
-        arr = F.array(*outs)
-        ranked = F.transform(
-            arr,
-            lambda v, i: F.struct((-F.size(F.filter(arr, lambda w: w == v))).alias("n"), i.alias("i"), v.alias("v")),
-        )
-        chain = F.when(outs[0] == x, outs[0])
-        for i in range(1, len(outs)):
-            chain = chain.when(outs[i] == outs[i - 1], outs[i])
-        any_null = outs[0].isNull()
-        for o in outs[1:]:
-            any_null = any_null | o.isNull()
-        return F.when(any_null, F.lit(None).cast("string")).otherwise(chain.otherwise(F.array_min(ranked)["v"]))
-
     def step(x: Column, prev: Column, outs: list[Column]) -> Column:
         if len(outs) == rounds:
-            return decide(x, outs)
-        return let(fn(prev), lambda r: step(x, r, outs + [r]))
+            return _decided(x, outs)
+
+        def then(r: Column) -> Column:
+            settled = F.when(r.isNull() | (r == prev), r)
+            return settled.otherwise(step(x, r, outs + [r])) if len(outs) + 1 < rounds else step(x, r, outs + [r])
+
+        return let(fn(prev), then)
 
     return let(c, lambda x: step(x, x, []))
 
 
+def fixpoint_rounds(df: DataFrame, value: str, out: str, fn: Normalizer, rounds: int = K.FIXPOINT_ROUNDS) -> DataFrame:
+    """``df`` with ``fixpoint`` of the column ``value`` as ``out``, by a shrinking frontier: for Python normalizers.
+
+    Each round is a projection that passes on only the values still changing; a settled one is null
+    from then on, and ``fn`` (from ``row_safe``) is not called for it again."""
+    keep = list(df.columns)
+    names = [f"__round{k}" for k in range(rounds)]
+    before, active = col(value), col(value)
+    for name in names:
+        df = df.withColumn(f"{name}_in", active).withColumn(name, F.when(F.col(f"{name}_in").isNotNull(), fn(F.col(f"{name}_in"))))
+        active = F.when(F.col(name) != F.col(f"{name}_in"), F.col(name))
+    return df.select(*[col(c) for c in keep], _decided(before, [F.col(n) for n in names]).alias(out))
+
+
 def standardize(
     df: DataFrame,
     column: str = "SMILES",
@@ -132,27 +163,34 @@ def standardize(
 
     o_orig, o_std, o_long, o_short = outputs
 
-    def keyed(src: DataFrame, value: Column, rest: Sequence[str] = ()) -> DataFrame:
-        std = fixpoint(normalizer, value, rounds) if method == "fixpoint" else normalizer(value)
-        staged = src.select(value.alias(o_orig), std.alias(o_std), *[col(r) for r in rest])
-        return staged.select(
-            col(o_orig),
-            col(o_std),
-            F.when(col(o_std).isNotNull(), text.long_key(col(o_std))).alias(o_long),
-            F.when(col(o_std).isNotNull(), text.short_key(col(o_std))).alias(o_short),
+    def keyed(src: DataFrame, rest: Sequence[str] = ()) -> DataFrame:
+        """The four outputs for the column ``__value``."""
+        if method == "single_pass":
+            std = src.withColumn("__std", normalizer(F.col("__value")))
+        elif isinstance(normalizer, _PythonNormalizer):
+            std = fixpoint_rounds(src, "__value", "__std", normalizer, rounds)
+        else:
+            std = src.withColumn("__std", fixpoint(normalizer, F.col("__value"), rounds))
+        return std.select(
+            F.col("__value").alias(o_orig),
+            F.col("__std").alias(o_std),
+            text.long_key(F.col("__std")).alias(o_long),
+            text.short_key(F.col("__std")).alias(o_short),
             *[col(r) for r in rest],
         )
 
     if not augment:
-        return keyed(df.select(col(column)).dropna().distinct(), col(column))
+        return keyed(df.select(col(column).alias("__value")).dropna().distinct())
 
     originals = drop_present(df, list(outputs))
     rest = [c for c in originals.columns if c != column]
+    originals = originals.filter(col(column).isNotNull()).select(col(column).alias("__value"), *[col(r) for r in rest])
     if not distinct_first:
-        return keyed(originals.filter(col(column).isNotNull()), col(column), rest)
-    values = keyed(originals.select(col(column)).dropna().distinct(), col(column))
-    joined = values.join(originals.withColumnRenamed(column, "__src"), F.col(o_orig) == F.col("__src"), "left")
-    return joined.drop("__src")
+        return keyed(originals, rest)
+    # Values are told apart and found again by their SHA-256, not by their texts.
+    originals = originals.select(F.unhex(F.sha2("__value", 256)).alias("__digest"), "__value", *[col(r) for r in rest])
+    values = keyed(originals.groupBy("__digest").agg(F.any_value("__value").alias("__value")), ["__digest"])
+    return values.join(originals.drop("__value"), "__digest").drop("__digest")
 
 
 def rejects(standardized: DataFrame, outputs: Sequence[str] = tuple(K.STANDARDIZE_OUTPUTS)) -> DataFrame:

@@ -81,3 +81,50 @@ def test_dense_round_trip_full_width(spark):
     assert [i for i, v in enumerate(dense) if v] == [0, 63, 64, 2047]
     wide = fp.widen(df.select(fp.dense(F.col("bits"), 8).alias("d")), "d", 8)
     assert wide.columns == [f"morgan_{i}" for i in range(8)]
+
+
+def test_bits_against_hashlib(spark):
+    import hashlib
+    import random
+
+    from assayflow.operators import hashing
+
+    random.seed(2)
+    words = ["a", "bé", "", "x" * 40, "y" * 70, "\t", "\n", "z" * 300]
+    texts = [None, "", "  ", "a", " a  b\tc\n", *[" ".join(random.choices(words, k=random.randrange(30))) for _ in range(60)], "w " * 3000 + "end"]
+
+    def slow(text, radius, n_bits):
+        tok = (text or "").encode().split()
+        grams = [b" ".join(tok[i : i + n]) for n in range(1, radius + 2) for i in range(len(tok) - n + 1)]
+        return sorted({int(hashlib.md5(g).hexdigest()[:7], 16) % n_bits for g in grams})
+
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string").repartition(2)
+    for radius, n_bits in [(2, 2048), (0, 64), (3, 100)]:
+        got = {r.i: r.b for r in df.select("i", fp.on_bits(F.col("t"), radius, n_bits).alias("b")).collect()}
+        assert all(got[i] == slow(t, radius, n_bits) for i, t in enumerate(texts))
+    packed = df.limit(0).select(fp.packed(fp.on_bits(F.col("t"))).alias("p"))
+    assert packed.count() == 0
+    row = spark.createDataFrame([([0, 63, 64, 130],)], "b array<int>").select(fp.packed(F.col("b"), 192).alias("p"), fp.bitstring(fp.dense(F.col("b"), 140)).alias("s")).first()
+    assert row.p == [1 - (1 << 63), 1, 4] and [i for i, c in enumerate(row.s) if c == "1"] == [0, 63, 64, 130] and len(row.s) == 140
+    assert hashing.BLOCK_BYTES > 0
+
+
+@pytest.mark.parametrize("first", [False, True])
+def test_settled_values_are_not_normalized_again(spark, tmp_dir, first):
+    from collections import Counter
+    from pathlib import Path
+
+    from assayflow.operators.standardize import row_safe
+
+    log = Path(tmp_dir) / f"calls-{first}"
+
+    def counting(value):
+        with open(log, "a") as out:
+            out.write(value + "\n")
+        return value[:-1] if value.endswith("!") else value
+
+    df = spark.createDataFrame([("a", 1), ("b!", 2), ("c!!!", 3), ("d!!!!!!!!!", 4), (None, 5)], "SMILES string, id long").coalesce(1)
+    out = {r.id: r.SMILES_standardized for r in standardize(df, normalizer=row_safe(counting), augment=True, distinct_first=first).collect()}
+    assert out == {1: "a", 2: "b", 3: "c", 4: "d!!!!!!!!"}
+    calls = Counter(line[0] for line in log.read_text().split())
+    assert calls == {"a": 1, "b": 2, "c": 4, "d": 5}
