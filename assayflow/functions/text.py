@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 def collapse_space(c: Column) -> Column:
     """Whitespace runs -> one space, trimmed, lower-cased."""
     # Only what changes is matched: a single space between words is left alone.
-    return F.lower(F.trim(F.regexp_replace(c, r"\s{2,}|[^\S ]", " ")))
+    return F.lower(F.trim(F.regexp_replace(c, r"[\t-\r]\s*| \s+", " ")))
 
 
 def drop_trailing(mark: str):

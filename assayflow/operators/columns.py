@@ -60,17 +60,16 @@ def rename(df: DataFrame, mapping: dict[str, str]) -> DataFrame:
 
 def resolve_column(df: DataFrame, candidates: Sequence[str], label: str) -> str:
     """The candidate that ``df`` has; of several, the one listed earliest."""
-    found = sorted(set(candidates) & set(df.columns), key=list(candidates).index)
-    if not found:
-        raise ValueError(f"{label}: the table has none of the columns {', '.join(candidates)}")
-    return found[0]
+    for name in candidates:
+        if name in df.columns:
+            return name
+    raise ValueError(f"{label}: the table has none of the columns {', '.join(candidates)}; its columns are {', '.join(df.columns)}")
 
 
 def keep_present(df: DataFrame, candidates: Sequence[str], first: str | None = None) -> list[str]:
     """Candidates that ``df`` has, in their order; ``first`` leads the list unless it is one of them."""
-    own = set(df.columns)
-    lead = [] if first is None or first in own.intersection(candidates) else [first]
-    return [*lead, *filter(own.__contains__, candidates)]
+    present = [name for name in candidates if name in df.columns]
+    return present if first is None or first in present else [first, *present]
 
 
 def normalize_case_variant(df: DataFrame, canonical: str = "SMILES", variant: str = "smiles") -> DataFrame:

@@ -22,8 +22,13 @@ _SHIFTS = np.array([7, 12, 17, 22] * 4 + [5, 9, 14, 20] * 4 + [4, 11, 16, 23] *
 _START = np.array([0x67452301, 0xEFCDAB89, 0x98BADCFE, 0x10325476], np.uint32)
 
 
-def _md5_block(state: list[np.ndarray], words: np.ndarray) -> list[np.ndarray]:
-    """One 64-byte block of each message (``words``: 16 x messages)."""
+# What is kept and what is set of a message word of which -1 (none, nor the end mark), 0 ... 4 bytes are text.
+_KEEP = np.array([0, 0, 0xFF, 0xFFFF, 0xFFFFFF, 0xFFFFFFFF], np.uint32)
+_MARK = np.array([0, 0x80, 0x8000, 0x800000, 0x80000000, 0], np.uint32)
+
+
+def _md5_block(state: list[np.ndarray], words: list[np.ndarray | None]) -> list[np.ndarray]:
+    """One 64-byte block of each message, given as its 16 words (None: zero in all messages)."""
     a, b, c, d = state
     for i in range(64):
         if i < 16:
@@ -34,11 +39,13 @@ def _md5_block(state: list[np.ndarray], words: np.ndarray) -> list[np.ndarray]:
             mixed, k = b ^ c ^ d, (3 * i + 5) % 16
         else:
             mixed, k = c ^ (b | ~d), 7 * i % 16
-        mixed = mixed + a
-        mixed += words[k]
+        mixed += a
+        if words[k] is not None:
+            mixed += words[k]
         mixed += _SINES[i]
         turned = mixed << _SHIFTS[i]
-        turned |= mixed >> (32 - _SHIFTS[i])
+        mixed >>= 32 - _SHIFTS[i]
+        turned |= mixed
         turned += b
         a, d, c, b = d, c, b, turned
     return [old + new for old, new in zip(state, (a, b, c, d), strict=True)]
@@ -46,28 +53,31 @@ def _md5_block(state: list[np.ndarray], words: np.ndarray) -> list[np.ndarray]:
 
 def md5_prefixes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """The first 32 bits of the MD5 of each slice ``data[start:end]`` (as the number that their hex digits write)."""
+    padded = np.concatenate([data, np.zeros(4, np.uint8)]).astype(np.uint32)
+    four = padded[:-3] | padded[1:-2] << np.uint32(8) | padded[2:-1] << np.uint32(16) | padded[3:] << np.uint32(24)
+    sizes = ends - starts
+    order = np.argsort(sizes.astype(np.uint16) if sizes.max(initial=0) < 1 << 16 else sizes, kind="stable")
     out = np.empty(len(starts), np.uint32)
-    blocks = (ends - starts + 8) // 64 + 1
-    order = np.argsort(blocks, kind="stable")
-    blocks = blocks[order]
     first = 0
     while first < len(order):
-        n_blocks = int(blocks[first])
-        lanes = max(1, LANES // n_blocks)
-        last = min(int(np.searchsorted(blocks, n_blocks, "right")), first + lanes)
-        which = order[first:last]
-        size = ends[which] - starts[which]
-        place = np.arange(64 * n_blocks)
-        inside = place < size[:, None]
-        message = np.where(inside, data[np.where(inside, starts[which][:, None] + place, 0)], 0).astype(np.uint8)
-        message[np.arange(len(which)), size] = 0x80
-        message[:, -8:] = (size.astype("<u8") * np.uint64(8)).view(np.uint8).reshape(-1, 8)
-        words = np.ascontiguousarray(message.view("<u4").T)
+        n_blocks = int(sizes[order[first]] + 8) // 64 + 1
+        which = order[first : first + max(1, LANES // n_blocks)]
+        size, start = sizes[which], starts[which]
+        which = which[: np.searchsorted((size + 8) // 64 + 1, n_blocks, "right")]  # messages of as many blocks
+        size, start = size[: len(which)], start[: len(which)]
         state = [np.full(len(which), x, np.uint32) for x in _START]
-        for k in range(n_blocks):
-            state = _md5_block(state, words[16 * k : 16 * k + 16])
+        for block in range(n_blocks):
+            words: list[np.ndarray | None] = [None] * 16
+            for k in range(16):
+                at = 64 * block + 4 * k
+                if at <= size[-1]:
+                    kind = np.clip(size - at, -1, 4) + 1
+                    words[k] = four[np.minimum(start + at, len(data))] & _KEEP[kind] | _MARK[kind]
+            if block == n_blocks - 1:
+                words[14], words[15] = (size << 3).astype(np.uint32), (size >> 29).astype(np.uint32)
+            state = _md5_block(state, words)
         out[which] = state[0].byteswap()
-        first = last
+        first += len(which)
     return out
 
 

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from assayflow import constants as K
+from assayflow.operators.chunking import number_rows
 from assayflow.operators.columns import col
 
 
@@ -70,26 +71,74 @@ def balanced_labels(
     )
 
 
+def _one_value(label: str, value: str):
+    """The value of a cell; a second row for it is an error."""
+    twice = F.raise_error(F.lit(f"more than one row for a cell of {label}"))
+    return F.when(F.count(F.lit(1)) > 1, twice).otherwise(F.first(col(value)))
+
+
 def binary_rows(long_df: DataFrame, index: str, label: str, value: str, min_count: int = K.MIN_CLASS_COUNT) -> DataFrame:
     """The 0/1 matrix as rows: a (index, label, value) row for each cell of a balanced label.
 
     An index value without such a cell has one row with a null label, as it has an empty
-    row in the wide form. Null labels are dropped; two rows for one cell are an error."""
+    row in the wide form. Null labels are dropped; two rows for one cell are an error.
+    An index value has at most one row for each label, so its rows are looked at together."""
     base = long_df.filter(col(label).isNotNull())
-    kept = balanced_labels(base, label, value, min_count).select(col(label))
-    cells = base.join(kept, label, "left_semi").groupBy(col(index), col(label))
-    cells = cells.agg(F.first(col(value)).alias("__value"), F.count("*").alias("__n"))
-    checked = F.when(F.col("__n") > 1, F.raise_error(F.lit(f"more than one row for a cell of {label}"))).otherwise(F.col("__value"))
-    cells = cells.select(col(index), col(label), checked.alias(value))
-    return base.select(col(index)).distinct().join(cells, index, "left")
+    kept = balanced_labels(base, label, value, min_count).select(col(label).alias("__kept"))
+    cells = base.groupBy(col(index), col(label)).agg(_one_value(label, value).alias("__value"))
+    cells = cells.join(kept, col(label) == F.col("__kept"), "left")
+    own = Window.partitionBy(col(index))
+    lone = F.count("__kept").over(own) == 0
+    cells = cells.select("*", lone.alias("__lone"), F.row_number().over(own.orderBy(col(label))).alias("__at"))
+    cells = cells.where(F.col("__kept").isNotNull() | F.col("__lone") & (F.col("__at") == 1))
+    return cells.select(col(index), F.col("__kept").alias(label), F.when(F.col("__kept").isNotNull(), F.col("__value")).alias(value))
 
 
 def binary_matrix(long_df: DataFrame, index: str, label: str, value: str, labels: Sequence[str]) -> DataFrame:
     """Wide 0/1 matrix: one row per index value, one column for each of the given labels.
 
-    Rows of other labels still create their index row (all nulls). ``long_df`` must have
-    one row per (index, label), e.g. after ``majority_vote``."""
+    Rows of other labels still create their index row (all nulls). A second row for a cell of a given
+    label is an error."""
     base = long_df.filter(col(label).isNotNull())
     if not labels:
         return base.select(col(index)).distinct()
-    return base.groupBy(col(index)).pivot(label, list(labels)).agg(F.first(col(value)))
+    return base.groupBy(col(index)).pivot(label, list(labels)).agg(_one_value(label, value))
+
+
+def label_dictionary(long_df: DataFrame, label: str, value: str, min_count: int = K.MIN_CLASS_COUNT) -> DataFrame:
+    """(label, label_id): the balanced labels, numbered from 0 in their order."""
+    kept = balanced_labels(long_df.filter(col(label).isNotNull()), label, value, min_count).select(col(label))
+    return number_rows(kept, label).select(col(label), (F.col("row_index") - 1).alias("label_id"))
+
+
+def sparse_rows(long_df: DataFrame, index: str, label: str, value: str, dictionary: DataFrame) -> DataFrame:
+    """The matrix without its names: for each index value ``label_ids`` (ascending) and their ``cell_values``.
+
+    The names stay in ``dictionary`` (label, label_id), which no step collects. An index value without a cell has empty
+    arrays; two rows for one cell are an error. A row is as long as the labels its index value has."""
+    names = dictionary.select(col(label).alias("__label"), F.col("label_id").alias("__id"))
+    base = long_df.filter(col(label).isNotNull()).select(col(index), col(label), col(value))
+    cell = F.when(F.col("__id").isNotNull(), F.struct(F.col("__id").alias("id"), col(value).alias("v")))
+    rows = base.join(names, col(label) == F.col("__label"), "left").groupBy(col(index)).agg(F.array_sort(F.collect_list(cell)).alias("__cells"))
+    ids = F.col("__cells.id")
+    twice = F.raise_error(F.lit(f"more than one row for a cell of {label}")).cast("array<bigint>")
+    checked = F.when(F.size(F.array_distinct(ids)) < F.size(ids), twice).otherwise(ids)
+    return rows.select(col(index), checked.alias("label_ids"), F.col("__cells.v").alias("cell_values"))
+
+
+def write_wide_blocks(rows: DataFrame, dictionary: DataFrame, index: str, label: str, path: str, width: int = 1000) -> list[str]:
+    """The wide matrix in Parquet tables of ``width`` labels each (``path/block=k``), from stored ``sparse_rows``.
+
+    Only the names of one block are on the driver at a time, as its columns; each block holds every index value."""
+    last = dictionary.agg(F.max("label_id")).first()[0]
+    written = []
+    for k in range(0, (last if last is not None else -1) // width + 1):
+        block = dictionary.where((F.col("label_id") >= k * width) & (F.col("label_id") < (k + 1) * width))
+        names = [r[0] for r in block.orderBy("label_id").select(col(label)).collect()]
+        cells = [
+            F.when(F.array_contains("label_ids", i), F.element_at("cell_values", F.array_position("label_ids", i).cast("int"))).alias(name)
+            for i, name in enumerate(names, k * width)
+        ]
+        rows.select(col(index), *cells).write.mode("overwrite").parquet(f"{path}/block={k}")
+        written.append(f"{path}/block={k}")
+    return written

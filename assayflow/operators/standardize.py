@@ -20,7 +20,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from assayflow import constants as K
@@ -28,6 +29,8 @@ from assayflow.functions import text
 from assayflow.functions.arrays import let
 from assayflow.operators.columns import col, drop_present, normalize_case_variant
 from assayflow.operators.filters import head_rows
+from assayflow.session import cut_lineage
+from assayflow.sinks.files import write_csv
 from assayflow.sources.files import require_nonempty
 
 Normalizer = Callable[[Column], Column]
@@ -36,8 +39,7 @@ METHODS = ("fixpoint", "single_pass")
 
 def default_normalizer(c: Column) -> Column:
     """Collapse whitespace, trim, lower-case; a blank value cannot be standardized (null)."""
-    norm = text.collapse_space(c)
-    return F.when(norm == F.lit(""), F.lit(None).cast("string")).otherwise(norm)
+    return let(text.collapse_space(c), lambda norm: F.when(norm != F.lit(""), norm))
 
 
 def row_safe(fn: Callable[[str], str | None]) -> Normalizer:
@@ -62,6 +64,53 @@ def row_safe(fn: Callable[[str], str | None]) -> Normalizer:
     return _PythonNormalizer(normalized.asNondeterministic())
 
 
+def with_reasons(df: DataFrame, column: str, fn: Callable[[str], str | None], out: str = "value", reason: str = "reason") -> DataFrame:
+    """``df`` with ``fn`` of a text column and, where there is none, why: each distinct value is asked once.
+
+    The reason is the error's type and message, ``no value`` for a null result and ``null`` for a
+    null input; exactly one of ``out`` and ``reason`` is null. Values are told apart by their SHA-256, and a value
+    that a third of the rows share is one row of the distinct values (joined back as a skewed key).
+    ``reason`` and ``out`` may not be columns of ``df`` yet."""
+    taken = [c for c in (out, reason) if c in df.columns]
+    if taken:
+        raise ValueError(f"the table has columns named {taken} already")
+
+    @F.arrow_udf("struct<value string, reason string>")
+    def asked(values: pa.Array) -> pa.Array:
+        found, why = [], []
+        for value in values.to_pylist():
+            try:
+                result = fn(value)
+                found.append(result)
+                why.append("no value" if result is None else None)
+            except Exception as error:  # whatever the library raises for a value it cannot handle
+                found.append(None)
+                why.append(f"{type(error).__name__}: {error}")
+        return pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(why, pa.string())], ["value", "reason"])
+
+    rows = df.select(F.struct("*").alias("__row"), F.unhex(F.sha2(col(column), 256)).alias("__digest"))
+    values = rows.where(F.col("__digest").isNotNull()).groupBy("__digest").agg(F.any_value(F.col("__row")[column]).alias("__value"))
+    answers = values.select(F.col("__digest").alias("__id"), asked.asNondeterministic()("__value").alias("__answer"))
+    joined = rows.join(answers, F.col("__digest") == F.col("__id"), "left")
+    why = F.when(F.col("__digest").isNull(), F.lit("null")).otherwise(F.col("__answer.reason"))
+    return joined.select("__row.*", F.col("__answer.value").alias(out), why.alias(reason))
+
+
+def write_with_rejects(df: DataFrame, path: str, reason: str = "reason") -> dict[str, int]:
+    """Write the rows of ``with_reasons`` that have a value as Parquet and, if any, the others with their reason as CSV.
+
+    The failing rows are kept in the shared checkpoint folder in between, so ``fn`` is not asked again;
+    the counts come with the writes (``observe``)."""
+    kept = cut_lineage(df)
+    good, bad = Observation("good"), Observation("bad")
+    kept.where(col(reason).isNull()).drop(reason).observe(good, F.count("*").alias("n")).write.mode("overwrite").parquet(f"{path}.parquet")
+    rejected = kept.where(col(reason).isNotNull())
+    if rejected.isEmpty():
+        return {"rows": good.get["n"], "rejects": 0}
+    write_csv(rejected.observe(bad, F.count("*").alias("n")), f"{path}_rejects.csv")
+    return {"rows": good.get["n"], "rejects": bad.get["n"]}
+
+
 class _PythonNormalizer:
     """A normalizer that Spark evaluates for whole batches: no lambda variable can reach it."""
 

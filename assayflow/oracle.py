@@ -478,3 +478,40 @@ ORACLE["target_counts"] = _role(
 )
 ORACLE["target_lists"] = _role(_SUPPORTED + "SELECT * FROM lists")
 ORACLE["annotate_compounds"] = _role(_SUPPORTED + "SELECT * FROM compounds LEFT JOIN lists USING (INCHIKEY)")
+
+ORACLE["experiment_table_staged"] = with_steps("SELECT * FROM exp", "exp")
+ORACLE["cell_sparse_matrix"] = (
+    with_steps("", "cell_long").rstrip()
+    + """
+    , kept AS (SELECT assay_component_endpoint_name, row_number() OVER (ORDER BY assay_component_endpoint_name) - 1 AS id
+               FROM (SELECT assay_component_endpoint_name FROM cell_long GROUP BY 1
+                     HAVING count(*) FILTER (WHERE corr_hitcall = 0) >= 5 AND count(*) FILTER (WHERE corr_hitcall = 1) >= 5))
+    SELECT c.dsstox_substance_id,
+           coalesce(string_agg(CAST(k.id AS VARCHAR), ',' ORDER BY k.id), '') AS label_ids,
+           coalesce(string_agg(CAST(CASE WHEN k.id IS NOT NULL THEN c.corr_hitcall END AS VARCHAR), ',' ORDER BY k.id), '') AS cell_values
+    FROM cell_long c LEFT JOIN kept k USING (assay_component_endpoint_name) GROUP BY 1"""
+)
+_REFUSED = f"""
+    SELECT CASRN, SMILES, {_TOKENS.format(x="SMILES")} AS tok,
+           CASE WHEN SMILES IS NULL THEN 'null' WHEN SMILES = '' THEN 'no value'
+                WHEN len({_TOKENS.format(x="SMILES")}) < 5 THEN 'ValueError: only ' || len({_TOKENS.format(x="SMILES")}) || ' words' END AS reason
+    FROM faulty_structures"""
+ORACLE["standardize_failures"] = _role(
+    f"""SELECT CASRN, md5(SMILES) AS source_md5, CASE WHEN reason IS NULL THEN md5(array_to_string(tok, ' ')) END AS value_md5, reason
+        FROM ({_REFUSED})"""
+)
+ORACLE["rejects_file"] = _role(
+    f""", refused AS ({_REFUSED})
+        SELECT reason, count(*) AS n, (SELECT count(*) FROM refused WHERE reason IS NULL) AS written
+        FROM refused WHERE reason IS NOT NULL GROUP BY reason"""
+)
+ORACLE["csv_round_trip"] = "SELECT doc_id, text, lang FROM documents"
+ORACLE["csv_inferred"] = "SELECT p_partkey, p_name, CAST(p_size AS BIGINT) AS p_size FROM part"
+ORACLE["tsv_gzip_comments"] = "SELECT CAST(o_orderkey AS BIGINT) AS o_orderkey, o_orderstatus FROM orders"
+ORACLE["files_by_header"] = "SELECT CAST(p_partkey AS BIGINT) AS p_partkey, p_name FROM part"
+ORACLE["parquet_round_trip"] = "SELECT o_orderkey, o_custkey, o_orderstatus FROM orders"
+ORACLE["bit_tables_written"] = _role(
+    f"""SELECT count(*) FILTER (WHERE ok) AS valid, count(*) FILTER (WHERE NOT ok) AS invalid
+        FROM (SELECT coalesce(len({_TOKENS.format(x="SMILES")}) > 0, false) AS ok FROM faulty_structures)"""
+)
+ORACLE["head_of_table"] = "SELECT o_orderkey, o_totalprice FROM orders ORDER BY o_totalprice, o_orderkey LIMIT 100"

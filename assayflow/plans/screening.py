@@ -27,6 +27,7 @@ from assayflow.operators import filters as flt
 from assayflow.operators import joins
 from assayflow.operators.columns import drop_present, select_ordered
 from assayflow.operators.matrix import balanced_labels, binary_matrix, binary_rows, pivot_known
+from assayflow.session import bucketed
 
 
 @dataclass
@@ -141,7 +142,7 @@ def endpoint_branches(inputs: ScreeningInputs) -> DataFrame:
 def endpoint_metadata(inputs: ScreeningInputs, materialize=None) -> EndpointSets:
     """Joined endpoint metadata per branch, in the fixed column order (views of one tagged table).
 
-    ``materialize`` (e.g. ``session.cut_lineage``) writes the tagged table once,
+    ``materialize`` (e.g. ``session.stored``) writes the tagged table once,
     so the branches that read it do not each re-derive it from the three tables.
     """
     tagged = endpoint_branches(inputs)
@@ -197,6 +198,23 @@ def experiment_table(inputs: ScreeningInputs, endpoints: DataFrame | None = None
     return joins.inner(exp, inputs.chemical.select("chid", "dsstox_substance_id"), "chid")
 
 
+def staged_fits(inputs: ScreeningInputs, endpoints: DataFrame | None = None) -> DataFrame:
+    """``experiment_table`` from tables bucketed by their fit ids, written once to the shared folder.
+
+    Parameters and level-5 fits are stored by ``m5id``, so the pivot and the join share that
+    partitioning; their result and the level-4 fits are stored by ``m4id``. No later step shuffles on either id."""
+    params = hit_params_long(inputs.mc5_param)
+    if endpoints is not None:
+        params = flt.semi_filter(params, endpoints, "aeid")
+    params = bucketed(params, "m5id", "params")
+    wide = pivot_known(params, ["m5id", "aeid"], "hit_param", "hit_val", K.HIT_PARAMS)
+    fits = joins.inner(wide, bucketed(inputs.mc5.select("m5id", "m4id"), "m5id", "mc5"), "m5id")
+    mc4 = bucketed(inputs.mc4.select("m4id", "spid", "logc_max", "logc_min", "nconc"), "m4id", "mc4")
+    exp = joins.inner(bucketed(fits, "m4id", "fits"), mc4, "m4id")
+    exp = joins.inner(exp, inputs.sample.select("spid", "chid"), "spid")
+    return joins.inner(exp, inputs.chemical.select("chid", "dsstox_substance_id"), "chid")
+
+
 def selected_endpoint_ids(eps: EndpointSets) -> DataFrame:
     return eps.tagged.filter(F.col("branch").isNotNull()).select("aeid")
 
@@ -402,12 +420,13 @@ class ScreeningOutputs:
 
 
 def build(inputs: ScreeningInputs, materialize=None) -> ScreeningOutputs:
-    """All eight outputs. ``materialize`` (e.g. ``session.cut_lineage``) is applied to
-    the experiment table, which every branch reads."""
+    """All eight outputs. With ``materialize`` (e.g. ``session.stored``) the fits are staged by
+    bucket and the experiment table, which every branch reads, is stored."""
     eps = endpoint_metadata(inputs, materialize)
-    exp = experiment_table(inputs, selected_endpoint_ids(eps))
     if materialize is not None:
-        exp = materialize(exp)
+        exp = materialize(staged_fits(inputs, selected_endpoint_ids(eps)))
+    else:
+        exp = experiment_table(inputs, selected_endpoint_ids(eps))
     rows = joins.inner(exp.select("aeid", "chid", "hitcall", "ac50"), cell_endpoints(eps), "aeid")
     cell = cell_results(cell_other_results(exp, eps.cell_other), cytotox_estimate(rows))
     cellfree = cellfree_results(exp, eps.cellfree)
@@ -440,15 +459,14 @@ OUTPUT_FILES = {
 def write_all(inputs: ScreeningInputs, folder: str) -> dict[str, str]:
     """Build and write all eight outputs under ``folder``.
 
-    The experiment table, read by every branch, is written once to the
-    shared checkpoint folder (``cut_lineage``) so the eight writes do not
-    each redo the fact-to-fact joins; a lost executor re-reads it instead of
-    recomputing it.
+    The experiment table, read by every branch, is written once as Parquet to
+    the shared folder (``stored``), so the eight writes do not each redo the fact-to-fact
+    joins and each reads only its columns; a lost executor re-reads it instead of recomputing it.
     """
-    from assayflow.session import cut_lineage
+    from assayflow.session import stored
     from assayflow.sinks.files import save_table
 
-    out = build(inputs, materialize=cut_lineage)
+    out = build(inputs, materialize=stored)
     written = {}
     for name, (stem, fmt) in OUTPUT_FILES.items():
         written[name] = save_table(getattr(out, name), f"{folder.rstrip('/')}/{stem}", fmt)[0]

@@ -6,10 +6,13 @@ Every query reads the driver tables of ``folder`` through the role views in
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from assayflow import constants as K
 from assayflow.functions import text
@@ -17,11 +20,21 @@ from assayflow.operators import aggregates, chunking, fingerprints, standardize
 from assayflow.operators import columns as cols
 from assayflow.operators import filters as flt
 from assayflow.operators import joins
-from assayflow.operators.matrix import balanced_labels
+from assayflow.operators.matrix import balanced_labels, label_dictionary, sparse_rows
 from assayflow.plans import annotate, bitvectors, chunks, compounds
 from assayflow.plans import screening as S
+from assayflow.session import shared_path, stored
+from assayflow.sinks import files as sinks
+from assayflow.sources import files as sources
 from assayflow.sources.bindings import Tables
 
+def _with_header(frames):
+    first = True
+    for frame in frames:
+        yield pd.concat([pd.DataFrame({"value": ["o_orderkey\to_orderstatus"]}), frame]) if first else frame
+        first = False
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
@@ -154,6 +167,12 @@ def experiment_table(spark, folder):
     return S.experiment_table(_inputs(spark, folder))
 
 
+@query
+def experiment_table_staged(spark, folder):
+    """Stores the fits by bucket when it is built."""
+    return S.staged_fits(_inputs(spark, folder))
+
+
 # ---------------------------------------------------------------------------
 # P6: cytotoxicity
 # ---------------------------------------------------------------------------
@@ -262,6 +281,16 @@ def cell_binary_matrix(spark, folder):
     return S.matrix_rows(S.cell_binary_long(_Screen(spark, folder).cell_results()), S.ENDPOINT, "corr_hitcall")
 
 
+@query
+def cell_sparse_matrix(spark, folder):
+    """Stores the voted cells and numbers the labels when it is built."""
+    cells = stored(S.cell_binary_long(_Screen(spark, folder).cell_results()), "cells")
+    names = label_dictionary(cells, S.ENDPOINT, "corr_hitcall")
+    rows = sparse_rows(cells, S.COMPOUND, S.ENDPOINT, "corr_hitcall", names)
+    joined = [F.array_join(F.transform(c, lambda x: x.cast("string")), ",").alias(c) for c in ("label_ids", "cell_values")]
+    return rows.select(S.COMPOUND, *joined)
+
+
 @query
 def cellfree_binary_matrix(spark, folder):
     return S.matrix_rows(S.cellfree_binary_long(_Screen(spark, folder).cellfree_results()), S.ENDPOINT, "hitcall")
@@ -368,6 +397,21 @@ def standardize_rejects(spark, folder):
     return standardize.rejects(_standardized_structures(spark, folder, faults=True))
 
 
+def _five_words(value: str) -> str | None:
+    """A normalizer that refuses short texts: what an external library does with what it cannot read."""
+    words = [w for w in re.split("[ \t\n\x0b\f\r]+", value) if w]
+    if value and len(words) < 5:
+        raise ValueError(f"only {len(words)} words")
+    return " ".join(words) if words else None
+
+
+@query
+def standardize_failures(spark, folder):
+    table = Tables(spark, folder).drug_structures(faults=True)
+    out = standardize.with_reasons(table, "SMILES", _five_words)
+    return out.select("CASRN", F.md5("SMILES").alias("source_md5"), F.md5("value").alias("value_md5"), "reason")
+
+
 @query
 def left_join_renamed_key(spark, folder):
     t = Tables(spark, folder)
@@ -449,6 +493,82 @@ def fingerprint_invalid(spark, folder):
     return bitvectors.bit_tables(_standardized_structures(spark, folder, faults=True)).invalid
 
 
+# ---------------------------------------------------------------------------
+# Files: a whole table is written to the shared folder when the query is built, and read again
+# ---------------------------------------------------------------------------
+
+
+@query
+def csv_round_trip(spark, folder):
+    """CSV sink and typed CSV scan (quoted line breaks included)."""
+    docs = Tables(spark, folder).raw("documents").select("doc_id", "text", "lang")
+    path = sinks.save_table(docs, shared_path(spark, "documents"), "csv")[0]
+    return sources.read_delimited(spark, path, docs.schema, multi_line=True, sep=",")
+
+
+@query
+def csv_inferred(spark, folder):
+    """CSV scan with types inferred from the whole file, from a path or a table, not empty."""
+    part = Tables(spark, folder).raw("part").select("p_partkey", "p_name", "p_size")
+    path = sinks.save_table(part, shared_path(spark, "part"), "both")[1]
+    found = sources.require_nonempty(sources.read_table(spark, path))
+    return sources.read_table(spark, found.select(F.col("p_partkey").cast("long"), "p_name", F.col("p_size").cast("long")))
+
+
+@query
+def tsv_gzip_comments(spark, folder):
+    """Tab-separated, compressed text with comment lines, the delimiter from the suffix."""
+    rows = Tables(spark, folder).raw("orders").select(F.col("o_orderkey").cast("string"), "o_orderstatus")
+    lines = rows.select(F.explode(F.array(F.lit("! made by hand"), F.concat_ws("\t", "o_orderkey", "o_orderstatus"))).alias("value"))
+    path = shared_path(spark, "orders")
+    # Every part begins with the header line, as each file has one of its own.
+    lines.mapInPandas(_with_header, "value string").write.option("compression", "gzip").text(path)
+    schema = StructType([StructField("o_orderkey", LongType()), StructField("o_orderstatus", StringType())])
+    return sources.read_delimited(spark, path, schema, comment=K.COMMENT_CHAR, sep=sources.delimiter_for("part.tsv.gz"))
+
+
+@query
+def files_by_header(spark, folder):
+    """Four files, two of them with their columns the other way round: two scans, columns by name."""
+    part = Tables(spark, folder).raw("part")
+    paths = []
+    for i in range(4):
+        order = ["p_partkey", "p_name"] if i % 2 else ["p_name", "p_partkey"]
+        paths.append(sinks.save_table(part.where(F.col("p_partkey") % 4 == i).select(*order), shared_path(spark, f"part-{i}"), "csv")[0])
+    schema = StructType([StructField("p_partkey", LongType()), StructField("p_name", StringType())])
+    return sources.read_aligned(spark, paths, schema)
+
+
+@query
+def parquet_round_trip(spark, folder):
+    orders = Tables(spark, folder).raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return spark.read.parquet(sinks.save_table(orders, shared_path(spark, "orders"), "parquet")[0])
+
+
+@query
+def rejects_file(spark, folder):
+    """The rows that a job turns away, written only if there are any, with the counts that came with the write."""
+    table = Tables(spark, folder).drug_structures(faults=True)
+    stem = shared_path(spark, "structures")
+    counts = standardize.write_with_rejects(standardize.with_reasons(table, "SMILES", _five_words), stem)
+    schema = StructType([StructField(c, StringType()) for c in ("CASRN", "SMILES", "value", "reason")])
+    rejects = sources.read_delimited(spark, f"{stem}_rejects.csv", schema, multi_line=True)
+    return rejects.groupBy("reason").agg(F.count("*").alias("n")).withColumn("written", F.lit(counts["rows"]).cast("long"))
+
+
+@query
+def bit_tables_written(spark, folder):
+    """Bit vectors and invalid rows as files; how many rows each has comes with the writes."""
+    table = Tables(spark, folder).drug_structures(faults=True)
+    counts = bitvectors.write_bit_tables(table, shared_path(spark, "bits"), n_bits=64)
+    return table.limit(1).select(F.lit(counts["valid"]).cast("long").alias("valid"), F.lit(counts["invalid"]).cast("long").alias("invalid"))
+
+
+@query
+def head_of_table(spark, folder):
+    return flt.head_rows(Tables(spark, folder).raw("orders").select("o_orderkey", "o_totalprice"), 100, ["o_totalprice", "o_orderkey"])
+
+
 # The rule default; at sf0.01 it already drops labels with fewer than 5 ones.
 BALANCE_QUERY_MIN = K.MIN_CLASS_COUNT
 

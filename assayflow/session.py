@@ -7,6 +7,8 @@ the bench and the command line on one machine.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings every session of ours gets. On a cluster these are the ones that
@@ -65,7 +67,7 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a session without one gets a folder in its warehouse."""
+    """The session's checkpoint folder; a local session without one gets a folder in its warehouse."""
     current = checkpoint_dir(spark)
     try:
         sc = spark.sparkContext
@@ -77,11 +79,37 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
-    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"  # the warehouse is shared, too
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"  # one machine: all folders are shared
     sc.setCheckpointDir(folder)
     return folder
 
 
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared checkpoint folder that nobody has used yet."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it from there: later steps read only the columns they use."""
+    path = shared_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str, name: str, buckets: int | None = None) -> DataFrame:
+    """Write ``df`` as a table bucketed and sorted by ``key``: what joins or groups by it later needs no shuffle.
+
+    The files lie in the shared folder; the table is known to this session's catalog. One file for each bucket."""
+    spark = df.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}"
+    writer = df.repartition(n, key).write.bucketBy(n, key).sortBy(key)
+    writer.option("path", shared_path(spark, name)).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialize ``df`` in the shared checkpoint folder (reliable; survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

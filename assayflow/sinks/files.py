@@ -4,7 +4,7 @@ is collected to the driver. Output folders are overwritten.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
@@ -35,25 +35,24 @@ def save_table(df: DataFrame, stem: str, fmt: str = "parquet") -> list[str]:
     return written
 
 
-def write_if_any(df: DataFrame, path: str) -> bool:
-    """Write a side output (e.g. rejected rows) only when it has rows."""
+def write_if_any(df: DataFrame, path: str, counted: Observation | None = None) -> bool:
+    """Write a side output (e.g. rejected rows) only when it has rows; ``counted`` gets how many (``rows``)."""
     if df.isEmpty():
         return False
-    write_csv(df, path)
+    write_csv(df if counted is None else df.observe(counted, F.count(F.lit(1)).alias("rows")), path)
     return True
 
 
+def by_chunk(df: DataFrame, chunk_column: str = "chunk") -> DataFrame:
+    """The rows with chunk n in partition n - 1, each partition sorted: one task for each chunk, and none idle.
+
+    Chunks are numbered from 1 without gaps, so the last number is how many partitions there are."""
+    last = df.agg(F.max(F.col(chunk_column))).first()[0]
+    others = [c for c in df.columns if c != chunk_column]
+    placed = df.repartitionById(max(1, int(last or 1)), (F.col(chunk_column) - 1).cast("int"))
+    return placed.sortWithinPartitions(chunk_column, *others)
+
+
 def write_chunks(df: DataFrame, path: str, chunk_column: str = "chunk") -> None:
-    """One CSV file per chunk, under ``path/<chunk_column>=<n>/``.
-
-    Hash-partitioning on the chunk number sends each chunk to exactly one
-    task, so each chunk folder holds one file with all of its rows.
-    """
-    (
-        df.repartition(F.col(chunk_column))
-        .sortWithinPartitions(chunk_column, *[c for c in df.columns if c != chunk_column])
-        .write.mode("overwrite")
-        .option("header", True)
-        .partitionBy(chunk_column)
-        .csv(path)
-    )
+    """One CSV file per chunk, under ``path/<chunk_column>=<n>/``."""
+    by_chunk(df, chunk_column).write.mode("overwrite").option("header", True).partitionBy(chunk_column).csv(path)

@@ -22,6 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from assayflow import constants as K
 
 TABLES = [
     "region",
@@ -252,7 +253,7 @@ def compound_group() -> Column:
 
 
 # Binding vocabularies (not rule constants).
-_NAMED = ["CLD_6hr", "CLD_24hr", "APR_HepG2_1hr", "APR_HepG2_72hr"]
+_NAMED = list(K.EXCLUDED_CELL_ASSAYS)
 _FORMATS = [
     "whole embryo",
     "cell-free",

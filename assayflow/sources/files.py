@@ -14,10 +14,13 @@ Differences from a pandas reader, kept on purpose:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from pathlib import PurePath
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -48,7 +51,7 @@ def read_delimited(
 ) -> DataFrame:
     """Read one or more delimited files with a header line each, columns by name.
 
-    Files may order their columns differently; a column of the schema (or of the first
+    Files with the same header are one scan. Files may order their columns differently; a column of the schema (or of the first
     file) that a file lacks is null there. The delimiter comes from each file's suffix
     unless ``sep`` is given. Without a schema, types are inferred from a full pass
     (``samplingRatio=1``). Quoted line breaks need ``multi_line``, which makes a file
@@ -60,18 +63,83 @@ def read_delimited(
     if comment:
         options["comment"] = comment
 
-    def one(path: str) -> DataFrame:
-        own = options | {"sep": sep or delimiter_for(path)}
+    def one(names: list[str], mark: str, group: list[str]) -> DataFrame:
+        own = options | {"sep": mark}
         if schema is None:
-            return spark.read.options(**own, inferSchema=True, samplingRatio=sampling_ratio).csv(path)
-        # The header's names are read first (all text), then typed by the schema's fields of these names.
-        names = spark.read.options(**own).csv(path).columns
+            return spark.read.options(**own, inferSchema=True, samplingRatio=sampling_ratio).csv(group)
+        # The header's names are typed by the schema's fields of these names.
         known = {f.name: f for f in schema.fields}
         ordered = StructType([known.get(c, StructField(c, StringType())) for c in names])
-        found = spark.read.options(**own, enforceSchema=False).schema(ordered).csv(path)
+        found = spark.read.options(**own, enforceSchema=False).schema(ordered).csv(group)
         return found.select(*[F.col(f"`{f.name}`") if f.name in names else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(p) for p in files])
+    groups = header_groups(spark, files, options, sep)
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [one(list(n), m, g) for (n, m), g in groups.items()])
+
+
+def header_groups(spark: SparkSession, files: Sequence[str], options: dict, sep: str | None = None) -> dict[tuple, list[str]]:
+    """The files of each (column names, delimiter), in the order in which these first occur.
+
+    Two jobs for each delimiter, whatever the number of files: one finds the first line that is no comment
+    of each file (a row a file comes back, and no other line leaves its task), and these lines are parsed
+    by the reader that will read the files."""
+    groups: dict[tuple, list[str]] = {}
+    by_mark: dict[str, list[str]] = {}
+    for path in files:
+        by_mark.setdefault(sep or delimiter_for(path), []).append(path)
+    for mark, group in by_mark.items():
+        if len(group) == 1:
+            names = spark.read.options(**(options | {"sep": mark})).csv(group[0]).columns
+            groups.setdefault((tuple(names), mark), []).append(group[0])
+            continue
+        headers = first_lines(spark, group, options.get("comment"))
+        parsed: dict[str, tuple] = {}
+        for path in group:
+            line = headers.get(_place(path))
+            if line is None:  # a folder, a pattern or a file without a header: its own group
+                names = tuple(spark.read.options(**(options | {"sep": mark})).csv(path).columns)
+            elif line in parsed:
+                names = parsed[line]
+            else:
+                one = spark.createDataFrame([(line,)], "value string").select("value")
+                names = parsed[line] = tuple(_columns(one, options | {"sep": mark}))
+            groups.setdefault((names, mark), []).append(path)
+    return groups
+
+
+def _columns(line: DataFrame, options: dict) -> list[str]:
+    return line.sparkSession.read.options(**options).csv(line.rdd.map(lambda r: r.value)).columns
+
+
+def _place(path: str) -> str:
+    """A path without its scheme, as files are told apart."""
+    return re.sub(r"^[a-z0-9+.-]+:(//[^/]*)?(?=/)", "", path)
+
+
+def first_lines(spark: SparkSession, files: Sequence[str], comment: str | None = None) -> dict[str, str]:
+    """The first line of each file that is neither blank nor a comment, by the path without its scheme."""
+    lines = spark.read.text(list(files)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("start"), "value"
+    )
+    if comment:
+        lines = lines.where(~F.startswith("value", F.lit(comment)))
+
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = set()
+        for batch in batches:
+            paths, starts, values = (batch.column(i).to_pylist() for i in range(3))
+            rows = []
+            for path, start, value in zip(paths, starts, values, strict=True):
+                if (path, start) not in seen and value.strip():
+                    seen.add((path, start))
+                    rows.append((path, start, value))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.string())],
+                ["path", "start", "value"],
+            )
+
+    first = lines.mapInArrow(heads, "path string, start long, value string").groupBy("path").agg(F.min_by("value", "start").alias("line"))
+    return {_place(unquote(r.path)): r.line for r in first.collect()}
 
 
 def read_aligned(spark: SparkSession, paths: Sequence[str], schema: StructType | None = None) -> DataFrame:

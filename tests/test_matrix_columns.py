@@ -2,7 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from assayflow.operators import columns as cols
-from assayflow.operators.matrix import assert_unique, balanced_labels, binary_matrix, binary_rows, pivot_known
+from assayflow.operators.matrix import assert_unique, balanced_labels, binary_matrix, binary_rows, label_dictionary, pivot_known, sparse_rows, write_wide_blocks
 
 
 def _long(spark, spec):
@@ -105,3 +105,27 @@ def test_strict_drop_rename_and_unions(spark):
 def test_select_ordered_with_dotted_name(spark):
     df = spark.createDataFrame([(1, 2)], "`a.b` long, c long")
     assert cols.select_ordered(df, ["c", "a.b"]).columns == ["c", "a.b"]
+
+
+def test_sparse_rows_and_wide_blocks(spark, tmp_dir):
+    df = _long(spark, {"A": (5, 5), "B": (1, 1), "C.x": (5, 5), "D": (6, 5)}).dropna()
+    names = label_dictionary(df, "label", "v", 5)
+    assert sorted(map(tuple, names.collect())) == [("A", 0), ("C.x", 1), ("D", 2)]
+    rows = sparse_rows(df, "id", "label", "v", names)
+    got = {r.id: dict(zip(r.label_ids, r.cell_values, strict=True)) for r in rows.collect()}
+    number = {r.label: r.label_id for r in names.collect()}
+    want = {}
+    for r in df.collect():
+        want.setdefault(r.id, {}).update({number[r.label]: r.v} if r.label in number else {})
+    assert got == want
+    paths = write_wide_blocks(rows, names, "id", "label", tmp_dir, width=2)
+    assert len(paths) == 2
+    first, second = (spark.read.parquet(p) for p in paths)
+    assert first.columns == ["id", "A", "C.x"] and second.columns == ["id", "D"] and second.count() == len(want)
+    assert {r["id"]: r["C.x"] for r in first.collect()} == {i: cells.get(1) for i, cells in want.items()}
+    twice = df.union(df.where("label = 'A'").limit(1))
+    with pytest.raises(Exception, match="more than one row"):
+        sparse_rows(twice, "id", "label", "v", names).collect()
+    with pytest.raises(Exception, match="more than one row"):
+        binary_matrix(twice, "id", "label", "v", ["A", "D"]).collect()
+    assert sparse_rows(df.limit(0), "id", "label", "v", names).count() == 0

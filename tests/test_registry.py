@@ -2,6 +2,10 @@ import __spark_entry__ as entry
 
 SMOKE = "/root/testdata/sf0.001"
 
+#: Queries about files and stored stages write these when they are built.
+WRITING = {"chunk_ids", "experiment_table_staged", "cell_sparse_matrix", "csv_round_trip", "csv_inferred", "tsv_gzip_comments"}
+WRITING |= {"files_by_header", "parquet_round_trip", "rejects_file", "bit_tables_written"}
+
 
 def test_every_query_has_an_oracle():
     from assayflow.oracle import ORACLE
@@ -22,7 +26,7 @@ def test_flagship_plan_stays_in_the_jvm(spark):
     assert "EvalPython" not in plan and "PythonUDF" not in plan
 
 
-def test_parameter_filter_reaches_the_scan(spark):
+def test_unused_columns_are_not_read(spark):
     df = entry.queries()["param_long_filter"](spark, SMOKE)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "FileScan parquet" in plan
@@ -37,7 +41,7 @@ def test_building_a_query_starts_no_job(spark, monkeypatch):
     monkeypatch.setattr(Tables, "raw", lambda self, name: frames[name])
     spark.sparkContext.setJobGroup("building", "registered queries")
     try:
-        for name in set(QUERIES) - {"chunk_ids"}:  # its placed rows are written at once
+        for name in set(QUERIES) - WRITING:
             QUERIES[name](spark, SMOKE)
             assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building"), name
     finally:
@@ -60,3 +64,27 @@ def test_write_all_outputs(spark, tmp_dir):
     assert hits.columns[0] == "dsstox_substance_id" and hits.count() > 0
     info = spark.read.option("header", True).csv(written["cell_assay_info"])
     assert info.count() > 0
+
+
+def test_staged_fits_need_no_shuffle_on_their_ids(spark):
+    from assayflow.plans import screening as S
+    from assayflow.sources.bindings import Tables
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        inputs = S.ScreeningInputs.from_tables(Tables(spark, SMOKE))
+        ids = S.selected_endpoint_ids(S.endpoint_metadata(inputs))
+        exp = S.staged_fits(inputs, ids)
+        plan = exp._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(m5id" not in plan and "hashpartitioning(m4id" not in plan and "hashpartitioning(spid" in plan
+        assert sorted(map(str, exp.collect())) == sorted(map(str, S.experiment_table(inputs, ids).select(*exp.columns).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10m")
+
+
+def test_entry_works_without_an_optional_library():
+    import subprocess
+    import sys
+
+    code = "import sys; sys.modules['xxhash'] = None; import __spark_entry__ as e; q = e.queries(); assert 'majority_vote' in q and 'op3_simhash' not in q and 'pipeline' not in q"
+    assert subprocess.run([sys.executable, "-c", code], cwd=str(__import__("pathlib").Path(entry.__file__).parent)).returncode == 0
