@@ -157,18 +157,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLE: dict[str, str] = {
     "op8_top_k": """
         WITH whole AS (
-            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+            SELECT vec_id, row_number() OVER () AS row, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
             FROM embeddings
             WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
               AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
-        ), one AS (
-            SELECT vec_id, min(v) AS v FROM whole GROUP BY vec_id
         ), scored AS (
-            SELECT q.vec_id AS query_id, c.vec_id,
+            SELECT q.vec_id AS query_id, q.row AS query_row, c.vec_id, c.row,
                    CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
-            FROM one q JOIN one c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+            FROM whole q JOIN whole c ON q.vec_id % 100 = 0 AND q.row <> c.row AND len(q.v) = len(c.v)
         ), ranked AS (
-            SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+            SELECT *, row_number() OVER (PARTITION BY query_row ORDER BY score DESC, vec_id, row) AS rank FROM scored
         )
         SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 10
     """,

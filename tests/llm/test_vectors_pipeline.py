@@ -2,7 +2,6 @@
 
 import importlib.util
 import random
-from collections import defaultdict
 
 import numpy as np
 import pytest
@@ -63,25 +62,44 @@ def test_embedding_links_of_planted_pairs(spark, dim):
     assert 900 <= links <= 1000
 
 
-def test_top_k(spark):
-    rows, frame = _vectors(spark)
-    found = defaultdict(list)
-    for r in topk.top_k(frame).orderBy("query_id", "rank").collect():
-        found[r["query_id"]].append((r["vec_id"], r["score"]))
-    whole = {}
-    for i, v, _, _ in rows:
+def _slow_top_k(rows):
+    """Sorted result rows for (id, vector) rows."""
+    whole = []
+    for i, v in rows:
         if i is not None and v is not None and all(c is not None and np.isfinite(c) for c in v):
-            whole[i] = [int(np.floor(1024 * float(np.float32(c)))) for c in v]
-    want = {}
-    for q in whole:
+            whole.append((i, [int(np.floor(1024 * float(np.float32(c)))) for c in v]))
+    out = []
+    for a, (q, x) in enumerate(whole):
         if q % 100 == 0:
-            scores = [(-sum(a * b for a, b in zip(whole[q], v, strict=True)), i) for i, v in whole.items() if i != q and len(v) == len(whole[q])]
-            if scores:
-                want[q] = [(i, -s) for s, i in sorted(scores)[:10]]
-    assert found == want
+            scores = sorted((-sum(m * n for m, n in zip(x, v, strict=True)), i) for b, (i, v) in enumerate(whole) if a != b and len(v) == len(x))
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:10], 1)]
+    return sorted(out)
+
+
+def test_top_k(spark):
+    rows, frame = _vectors(spark)
+    assert sorted(map(tuple, topk.top_k(frame).collect())) == _slow_top_k([r[:2] for r in rows])
     assert topk.top_k(frame.limit(0)).count() == 0
 
 
+def test_top_k_of_repeated_ids_and_vectors(spark):
+    rows = [(100, [1.0, 2.0]), (7, [1.0, 2.0]), (7, [9.0, 9.0]), (7, [1.0, 2.0]), (8, [0.5, 0.5]), (100, [1.0, 2.0]), (200, []), (9, []), (-100, [3.0])]
+    frame = spark.createDataFrame([(i, v, 0, 1) for i, v in rows], "vec_id long, embedding array<float>, row int, cells long").repartition(3)
+    found = topk.top_k(frame)
+    assert found.columns == ["query_id", "rank", "vec_id", "score"]
+    assert sorted(map(tuple, found.collect())) == _slow_top_k(rows)
+    assert found.agg({"score": "max"}).first()[0] == 28_311_552
+
+
+def test_top_k_reads_few_exact_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    monkeypatch.setattr(topk, "BLOCK", 300)
+    x = rng.standard_normal((900, 16)).astype(np.float32)
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>").coalesce(1)
+    assert sorted(map(tuple, topk.top_k(frame).collect())) == _slow_top_k(rows)
+
+
 def test_components(spark):
     random.seed(1)
     edges = [(i, i + 1) for i in range(50)] + [(100, j) for j in range(101, 160)] + [(7, 7), (None, 3), (200, 201), (201, 200)]
