@@ -2,20 +2,21 @@
 
 The documents of a scan split, in row order, are one stream of ids with an end id
 behind each; it is cut into sequences of ``length`` ids (the last one of a split is
-padded). One pass counts the ids of each split, so every sequence has a number
-without gaps; a second pass over the same splits makes the sequences. A split is
-known by its file and place in it, not by a task's number, so a repeated task or
+padded). Texts are encoded once: the sequences are stored compressed in the shared folder with their number
+within the split, and counting the stored rows gives every sequence a number without gaps. A split is
+known by a hash of its file and place in it, not by a task's number, so a repeated task or
 another order of tasks gives the same numbers.
 
 A keyed Feistel permutation of the numbers, walking its cycle until it falls below
 the number of sequences, gives each sequence its slot. A shard holds ``per_shard``
-consecutive slots; each is one range partition, sorted and written from its first
+consecutive slots; a range partition writes up to ``SHARDS_PER_TASK`` of them, each sorted and written from its first
 slot to its last. The place of a slot follows from its number, so a reader can start
 at any slot and read on sequentially.
 
-Only one number for each scan split goes through the driver. Defined results: null and
-empty texts are an end id alone; an empty table gives no sequence and no file; repeated
-rows count each for itself.
+Two numbers for each scan split go through the driver (16 bytes for 128 MB of input), into a file that
+the tasks map. Defined results: null and empty texts are an end id alone; rows with a null id are kept, with null in
+``doc_ids``; an empty table gives no sequence and no file; repeated rows count each for itself; other columns,
+whatever their name, are ignored. Ids that do not fit ``width`` bytes are an error.
 """
 
 from __future__ import annotations
@@ -31,12 +32,13 @@ from pyspark.sql import DataFrame, functions as F
 
 from .bytesops import mix64
 from .chunks import library_table
-from .shared import _filesystem, mapped_file, scratch, staged
+from .shared import _filesystem, mapped_file, scratch, staged, write_file
 
 LENGTH = 2048
 PER_SHARD = 4096
 END_ID = 2
 ROUNDS = 6
+SHARDS_PER_TASK = 64
 
 
 def permute(index: np.ndarray, size: int, key: int, inverse: bool = False) -> np.ndarray:
@@ -64,29 +66,31 @@ def permute(index: np.ndarray, size: int, key: int, inverse: bool = False) -> np
 
 def _with_split(docs: DataFrame, text: str, key: str) -> DataFrame:
     """doc_id, text and the scan split of each row; rows that come from no file are stored first."""
-    rows = docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    place = [F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block")]
+    rows = docs.select(docs[f"`{key}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].alias("text"))
+    split = F.xxhash64(F.col("_metadata.file_path"), F.col("_metadata.file_block_start")).alias("split")
     try:
-        return docs.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"), *place)
+        return docs.select(docs[f"`{key}`"].cast("long").alias("doc_id"), docs[f"`{text}`"].alias("text"), split)
     except AnalysisException:
-        return staged(rows, "documents").select("doc_id", "text", *place)
+        return staged(rows, "documents").select("doc_id", "text", split)
 
 
-def _by_split(batch: pa.RecordBatch, path: str, end_id: int) -> Iterator[tuple[tuple, list, np.ndarray, np.ndarray]]:
+def _by_split(batch: pa.RecordBatch, path: str, end_id: int) -> Iterator[tuple[int, list, np.ndarray, np.ndarray]]:
     """(split, doc ids, ids with end ids, offsets) for the batch's rows, in order, never across two splits."""
-    files, places = batch.column("file").dictionary_encode(), batch.column("block").to_numpy()
-    number = files.indices.to_numpy()
-    names = files.dictionary.to_pylist()
-    keys = batch.column("doc_id").to_pylist()
-    cuts = np.flatnonzero((number[1:] != number[:-1]) | (places[1:] != places[:-1])) + 1
+    splits, keys = batch.column("split").to_numpy(), batch.column("doc_id").to_pylist()
+    cuts = np.flatnonzero(splits[1:] != splits[:-1]) + 1
     for first, last in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
         if first == last:
             continue
-        split = (names[number[first]], int(places[first]))
         part = batch.column("text").slice(first, last - first)
         for block, ids, at in library_table(path).ids(part):
             ids = np.insert(ids, at[1:], end_id)
-            yield split, keys[first + block.first : first + block.last], ids, at + np.arange(len(at))
+            yield int(splits[first]), keys[first + block.first : first + block.last], ids, at + np.arange(len(at))
+
+
+def _planes(raw: bytes, width: int, back: bool = False) -> bytes:
+    """The first bytes of all ids, then their second bytes, and so on (or back): high bytes repeat and compress well."""
+    shape = (width, -1) if back else (-1, width)
+    return np.frombuffer(raw, np.uint8).reshape(shape).T.tobytes()
 
 
 class _Stream:
@@ -138,44 +142,23 @@ def materialise(
     Ids are little-endian unsigned integers of ``width`` bytes; an id that does not fit is an error."""
     spark = docs.sparkSession
     folder = folder or scratch(spark, "shards")
-    rows = _with_split(docs, text, id_column)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals: dict[tuple, int] = {}
-        for batch in batches:
-            for split, _, ids, _ in _by_split(batch, path, end_id):
-                totals[split] = totals.get(split, 0) + len(ids)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([s[0] for s in totals], pa.string()), pa.array([s[1] for s in totals], pa.int64()), pa.array(totals.values(), pa.int64())],
-            ["file", "block", "n"],
-        )
-
-    counted = rows.mapInArrow(count, "file string, block long, n long").groupBy("file", "block").agg(F.sum("n").alias("n"))
-    first: dict[tuple, int] = {}
-    size = 0
-    for r in sorted(counted.collect()):
-        first[r["file"], r["block"]] = size
-        size += -(-r["n"] // length)
     kind = {1: "<u1", 2: "<u2", 4: "<u4"}[width]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = zstandard.ZstdCompressor(1)
+        packer = zstandard.ZstdCompressor(3)
         stream, current = _Stream(length, end_id), None
 
-        def made(found: list[tuple], split: tuple) -> Iterator[pa.RecordBatch]:
+        def made(found: list[tuple], split: int) -> Iterator[pa.RecordBatch]:
             if not found:
                 return
-            number = first[split] + np.array([x[0] for x in found])
-            slot = permute(number, size, key)
-            stored = [x[1].astype(kind) for x in found]
             if any(int(x[1].max()) >> (8 * width) for x in found):
                 raise ValueError(f"an id needs more than {width} bytes")
             columns = [
-                pa.array((slot // per_shard).astype(np.int32)), pa.array(slot), pa.array(number),
+                pa.array([split] * len(found), pa.int64()), pa.array([x[0] for x in found], pa.int64()),
                 pa.array([x[2] for x in found], pa.int32()), pa.array([x[3] for x in found], pa.list_(pa.int64())),
-                pa.array([packer.compress(x.tobytes()) for x in stored], pa.binary()),
+                pa.array([packer.compress(_planes(x[1].astype(kind).tobytes(), width)) for x in found], pa.binary()),
             ]
-            yield pa.RecordBatch.from_arrays(columns, ["shard", "slot", "sequence", "n_tokens", "doc_ids", "ids"])
+            yield pa.RecordBatch.from_arrays(columns, ["split", "at", "n_tokens", "doc_ids", "ids"])
 
         for batch in batches:
             for split, keys, ids, at in _by_split(batch, path, end_id):
@@ -185,6 +168,28 @@ def materialise(
                 yield from made(stream.add(keys, ids, at), split)
         yield from made(stream.finish(), current)
 
+    schema = "split long, at long, n_tokens int, doc_ids array<long>, ids binary"
+    sequences = staged(_with_split(docs, text, id_column).mapInArrow(cut, schema), "cut")
+    # A split is one task's, but two splits could share a hash: then their numbers within the split repeat.
+    per_split = sequences.groupBy("split").agg(F.count("*").alias("n"), F.max("at").alias("last")).collect()
+    if any(r["n"] != r["last"] + 1 for r in per_split):
+        raise RuntimeError("two scan splits share a hash")
+    splits = np.array(sorted((r["split"], r["n"]) for r in per_split), np.int64).reshape(-1, 2)
+    size = int(splits[:, 1].sum())
+    firsts = write_file(folder, "splits", [np.ascontiguousarray(splits[:, 0]), np.cumsum(splits[:, 1]) - splits[:, 1]]) if size else ""
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, first = np.asarray(mapped_file(firsts).view(np.int64)).reshape(2, -1)
+            own = np.searchsorted(names, batch.column("split").to_numpy())
+            number = first[own] + batch.column("at").to_numpy()
+            slot = permute(number, size, key)
+            kept = [batch.column(c) for c in ("n_tokens", "doc_ids", "ids")]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((slot // per_shard).astype(np.int32)), pa.array(slot), pa.array(number), *kept],
+                ["shard", "slot", "sequence", "n_tokens", "doc_ids", "ids"],
+            )
+
     stride = length * width
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -207,7 +212,7 @@ def materialise(
                 if slot != following:
                     raise RuntimeError(f"slot {slot} stands where {following} is due")
                 following += 1
-                raw = unpacker.decompress(blob.as_py(), max_output_size=stride)
+                raw = _planes(unpacker.decompress(blob.as_py(), max_output_size=stride), width, back=True)
                 out.write(raw)
                 files.append(f"{folder.rstrip('/')}/{name}")
                 sums.append(zlib.crc32(raw))
@@ -218,8 +223,11 @@ def materialise(
         if out:
             out.close()
 
-    sequences = rows.mapInArrow(cut, "shard int, slot long, sequence long, n_tokens int, doc_ids array<long>, ids binary")
-    dealt = sequences.repartitionById(max(1, -(-size // per_shard)), F.col("shard")).sortWithinPartitions("slot")
+    placed = sequences.mapInArrow(place, "shard int, slot long, sequence long, n_tokens int, doc_ids array<long>, ids binary")
+    shards = max(1, -(-size // per_shard))
+    tasks = min(shards, max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-shards // SHARDS_PER_TASK)))
+    each = -(-shards // tasks)
+    dealt = placed.repartitionById(-(-shards // each), F.floor(F.col("shard") / each).cast("int")).sortWithinPartitions("slot")
     schema = "slot long, shard int, sequence long, n_tokens int, doc_ids array<long>, byte_offset long, ids_crc32 long, file string"
     return staged(dealt.mapInArrow(write, schema), "sequences")
 

@@ -6,7 +6,7 @@ value) and the exact vectors. The queries' vectors are files of the same folder.
 lies, maps its cells and scans them for each block of queries: a cell's edges bound every score from
 below and above. Exact vectors are read from their file only as far as needed, in the order of their upper
 bounds, until the next bound is below the k-th score found, so the block's k best are certain. What is
-shuffled are the k best of each query and block; the driver sees an address for each task that wrote queries.
+shuffled are the k best of each query and block; nothing goes through the driver.
 
 The work is queries times rows, as stated; nothing is left out.
 

@@ -299,6 +299,16 @@ def test_training_order_round_trip(spark, tokenizer, docs_table, no_docs):
     assert token_output.materialise(no_docs, PATH, key=5).count() == 0
 
 
+def test_several_shards_in_a_task(spark, docs_table, monkeypatch):
+    monkeypatch.setattr(token_output, "SHARDS_PER_TASK", 3)
+    clashing = docs_table.withColumn("split", F.lit(1)).withColumn("slot", F.lit(2))
+    stored = token_output.materialise(clashing, PATH, key=5, length=16, per_shard=8)
+    assert stored.select("shard").distinct().count() > 12 and stored.select("file").distinct().count() == stored.select("shard").distinct().count()
+    rows = sorted(stored.collect(), key=lambda r: r["slot"])
+    assert [r["byte_offset"] for r in rows] == [r["slot"] % 8 * 32 for r in rows]
+    assert [zlib.crc32(x.tobytes()) for x in token_output.read_sequences(stored, length=16, per_shard=8)] == [r["ids_crc32"] for r in rows]
+
+
 def test_arrow_slices_keep_their_texts():
     from assayflow.llm.bytesops import blocks
 
