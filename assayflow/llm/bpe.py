@@ -29,7 +29,7 @@ import regex
 from pyspark.sql import DataFrame, functions as F
 
 from .bytesops import ragged
-from .chunks import RunTable
+from .chunks import RunTable, cuts_at_runs
 
 _DEAD = 1 << 16
 _EDGE = (1 << 16) - 1
@@ -46,6 +46,7 @@ class Bpe:
     """A tokenizer file's vocabulary, merges and text rules."""
 
     def __init__(self, path: str):
+        cuts_at_runs(path)
         with open(path, encoding="utf-8") as source:
             spec = json.load(source)
         model = spec["model"]

@@ -12,6 +12,7 @@ ASCII letters are lowered first unless a special token may stand in the block.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -19,6 +20,10 @@ import pyarrow as pa
 
 from .bytesops import Block, blocks, ragged, word_hashes, words
 
+#: The text rules for which runs may be cut, and letters lowered, as here.
+SPLIT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+
 MAX_RUNS = 600_000
 GROUP_BYTES = 3 << 20
 
@@ -130,6 +135,28 @@ class RunTable:
             yield block, self.flat[ragged(self.starts[slots], lengths)], ends[at]
 
 
+def cuts_at_runs(path: str) -> None:
+    """Raise unless the tokenizer file splits texts as the runs do; read once, on the driver.
+
+    It must drop white space, split words, digits and marks by ``SPLIT_PATTERN``, lower letters, and have only special tokens that
+    begin with ``<|`` and hold no white space."""
+    with open(path, encoding="utf-8") as source:
+        spec = json.load(source)
+
+    def steps(name: str, within: str) -> list[dict]:
+        given = spec.get(name) or {}
+        return given.get(within, [given] if given else [])
+
+    normalizers, splits = steps("normalizer", "normalizers"), steps("pre_tokenizer", "pretokenizers")
+    fits = [x.get("type") for x in normalizers] == NORMALIZERS and normalizers[1].get("pattern") == {"Regex": r"\s+"} and normalizers[1].get("content") == " "
+    fits = fits and [x.get("type") for x in splits] == ["Split", "ByteLevel"] and splits[0].get("pattern") == {"Regex": SPLIT_PATTERN}
+    fits = fits and splits[0].get("behavior") == "Removed" and splits[0].get("invert") and not splits[1].get("add_prefix_space")
+    special = [x["content"] for x in spec.get("added_tokens", [])]
+    fits = fits and all(x.startswith("<|") and len(x.split()) == 1 and x == x.strip() for x in special)
+    if not fits or spec.get("post_processor"):
+        raise ValueError(f"{path}: the file splits texts in another way than these operators do")
+
+
 _library_tables: dict[str, RunTable] = {}
 
 

@@ -127,6 +127,7 @@ def _first_meeting(x: np.ndarray, y: np.ndarray, table: int, way: int) -> np.nda
 def verify(rep, n, own, tile, vectors, codes, table: int, same: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Links of one bucket (or of a pair of its tiles): link counts (id, number), spanning links (a, b), pairs found."""
     homes = np.flatnonzero(own)
+    vectors = vectors / np.abs(vectors).max(axis=1, keepdims=True)  # so that no square is too large or too small
     norms = np.sqrt((vectors**2).sum(axis=1))
     cosine = vectors @ vectors[homes].T / (norms[:, None] * norms[homes][None, :])
     a, b = np.nonzero(cosine >= THRESHOLD)

@@ -65,7 +65,7 @@ def unpack(blob: bytes, kind: str = "<u4") -> tuple[np.ndarray, np.ndarray]:
 
 
 def _merged(table: pa.Table, name: str = "blob") -> tuple[np.ndarray, np.ndarray]:
-    parts = [unpack(x.as_py()) for x in table.column(name)]
+    parts = [unpack(x.as_py(), "<u8") for x in table.column(name)]
     return sum_by_key(np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts]))
 
 
@@ -158,8 +158,8 @@ class NgramModel:
         if not self.pairs[s] or not len(keys):
             return np.zeros(len(keys), np.int64)
         raw = mapped_file(self.pairs[s])
-        n = len(raw) // 12
-        known, seen = raw[: 8 * n].view(np.uint64), raw[8 * n :].view(np.uint32)
+        n = len(raw) // 16
+        known, seen = raw[: 8 * n].view(np.uint64), raw[8 * n :].view(np.uint64)
         at = np.searchsorted(known, keys)
         at[at == n] = 0
         return np.where(known[at] == keys, seen[at], 0).astype(np.int64)
@@ -241,7 +241,7 @@ class _Sums:
         shard = self.place(keys)
         order = np.argsort(shard, kind="stable")
         cuts = np.searchsorted(shard[order], np.arange(self.shards + 1))
-        rows = [(s, pack(keys[own], counts[own])) for s in range(self.shards) if len(own := order[cuts[s] : cuts[s + 1]])]
+        rows = [(s, pack(keys[own], counts[own], "<u8")) for s in range(self.shards) if len(own := order[cuts[s] : cuts[s + 1]])]
         yield pa.RecordBatch.from_arrays(
             [pa.array([s for s, _ in rows], pa.int32()), pa.array([x for _, x in rows], pa.binary())], ["shard", "blob"]
         )
@@ -316,7 +316,7 @@ def train(docs: DataFrame, text: str = "text", shards: int | None = None) -> Ngr
     def merge_pairs(key, table):
         shard = key[0].as_py()
         keys, counts = _merged(table)
-        rows = [{"kind": "pairs", "shard": shard, "uri": write_file(folder, f"pairs-{shard}", [keys, counts.astype(np.uint32)])}]
+        rows = [{"kind": "pairs", "shard": shard, "uri": write_file(folder, f"pairs-{shard}", [keys, counts.astype(np.uint64)])}]
         rows[0]["n"] = [int((counts == k).sum()) for k in (1, 2, 3, 4)]
         context = keys >> _SHIFT
         own, start = np.unique(context, return_index=True)
@@ -331,7 +331,7 @@ def train(docs: DataFrame, text: str = "text", shards: int | None = None) -> Ngr
         word, contexts = sum_by_key(keys & _LOW)
         cuts = np.searchsorted(word, starts)
         rows += [
-            {"kind": "word", "shard": s, "blob": pack(word[cuts[s] : cuts[s + 1]], contexts[cuts[s] : cuts[s + 1]])}
+            {"kind": "word", "shard": s, "blob": pack(word[cuts[s] : cuts[s + 1]], contexts[cuts[s] : cuts[s + 1]], "<u8")}
             for s in range(shards)
             if cuts[s] < cuts[s + 1]
         ]

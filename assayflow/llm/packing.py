@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from .chunks import library_table
+from .chunks import cuts_at_runs, library_table
 from .shared import staged
 
 CAPACITY = 4096
@@ -31,6 +31,7 @@ END_ID = 2
 
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): every document cut at multiples of the capacity."""
+    cuts_at_runs(path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

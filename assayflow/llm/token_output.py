@@ -31,7 +31,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
 from .bytesops import mix64
-from .chunks import library_table
+from .chunks import cuts_at_runs, library_table
 from .shared import _filesystem, mapped_file, scratch, staged, write_file
 
 LENGTH = 2048
@@ -87,12 +87,6 @@ def _by_split(batch: pa.RecordBatch, path: str, end_id: int) -> Iterator[tuple[i
             yield int(splits[first]), keys[first + block.first : first + block.last], ids, at + np.arange(len(at))
 
 
-def _planes(raw: bytes, width: int, back: bool = False) -> bytes:
-    """The first bytes of all ids, then their second bytes, and so on (or back): high bytes repeat and compress well."""
-    shape = (width, -1) if back else (-1, width)
-    return np.frombuffer(raw, np.uint8).reshape(shape).T.tobytes()
-
-
 class _Stream:
     """Sequences of one split, and the documents that each touches."""
 
@@ -141,6 +135,7 @@ def materialise(
     n_tokens (without padding), ids_crc32 (of the stored bytes), doc_ids (of the documents in it) and file.
     Ids are little-endian unsigned integers of ``width`` bytes; an id that does not fit is an error."""
     spark = docs.sparkSession
+    cuts_at_runs(path)
     folder = folder or scratch(spark, "shards")
     kind = {1: "<u1", 2: "<u2", 4: "<u4"}[width]
 
@@ -156,7 +151,7 @@ def materialise(
             columns = [
                 pa.array([split] * len(found), pa.int64()), pa.array([x[0] for x in found], pa.int64()),
                 pa.array([x[2] for x in found], pa.int32()), pa.array([x[3] for x in found], pa.list_(pa.int64())),
-                pa.array([packer.compress(_planes(x[1].astype(kind).tobytes(), width)) for x in found], pa.binary()),
+                pa.array([packer.compress(x[1].astype(kind).tobytes()) for x in found], pa.binary()),
             ]
             yield pa.RecordBatch.from_arrays(columns, ["split", "at", "n_tokens", "doc_ids", "ids"])
 
@@ -212,7 +207,7 @@ def materialise(
                 if slot != following:
                     raise RuntimeError(f"slot {slot} stands where {following} is due")
                 following += 1
-                raw = _planes(unpacker.decompress(blob.as_py(), max_output_size=stride), width, back=True)
+                raw = unpacker.decompress(blob.as_py(), max_output_size=stride)
                 out.write(raw)
                 files.append(f"{folder.rstrip('/')}/{name}")
                 sums.append(zlib.crc32(raw))

@@ -242,6 +242,14 @@ def test_quality_counts_beyond_32_bits():
     assert [x.tolist() for x in quality.unpack(quality.pack(keys, counts, "<u8"), "<u8")] == [[3, 9], [7, 5 << 32]]
 
 
+def test_pair_counts_beyond_32_bits(tmp_dir):
+    from assayflow.llm.shared import write_file
+
+    model = object.__new__(lm_scoring.NgramModel)
+    model.pairs = [write_file(tmp_dir, "pairs", [np.array([3, 9], np.uint64), np.array([7, 5 << 32], np.uint64)])]
+    assert model._in_shard(0, np.array([1, 3, 9, 10], np.uint64)).tolist() == [0, 7, 5 << 32, 0]
+
+
 def test_quality_limit_of_few_documents(spark):
     assert [quality.student(0.999, n) for n in (4, 10, 100)] == pytest.approx([7.173, 4.144, 3.174], rel=0.01)
     rows = [("many", 2.0 + i / 10_000) for i in range(2000)] + [("few", 4.0 * 1.1 ** (i % 3)) for i in range(12)] + [("one", 90.0)]
@@ -299,6 +307,27 @@ def test_training_order_round_trip(spark, tokenizer, docs_table, no_docs):
     assert token_output.materialise(no_docs, PATH, key=5).count() == 0
 
 
+def test_other_tokenizer_files_are_refused(tmp_dir, no_docs):
+    import json
+
+    from assayflow.llm.chunks import cuts_at_runs
+
+    cuts_at_runs(PATH)
+    with open(PATH, encoding="utf-8") as source:
+        spec = json.load(source)
+    changes = [
+        {"pre_tokenizer": {"type": "WhitespaceSplit"}}, {"normalizer": None}, {"post_processor": {"type": "ByteLevel"}},
+        {"added_tokens": [{"id": 1, "content": "end of text"}]}, {"normalizer": {"type": "Lowercase"}},
+    ]
+    for i, change in enumerate(changes):
+        path = f"{tmp_dir}/{i}.json"
+        with open(path, "w") as out:
+            json.dump(spec | {"model": {}} | change, out)
+        for refused in (lambda: cuts_at_runs(path), lambda: packing.pieces(no_docs, path), lambda: token_output.materialise(no_docs, path, 1)):
+            with pytest.raises(ValueError, match="another way"):
+                refused()
+
+
 def test_several_shards_in_a_task(spark, docs_table, monkeypatch):
     monkeypatch.setattr(token_output, "SHARDS_PER_TASK", 3)
     clashing = docs_table.withColumn("split", F.lit(1)).withColumn("slot", F.lit(2))

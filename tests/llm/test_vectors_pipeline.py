@@ -62,6 +62,12 @@ def test_embedding_links_of_planted_pairs(spark, dim):
     assert 900 <= links <= 1000
 
 
+def test_embedding_links_of_extreme_lengths(spark):
+    rows = [(1, [1e200, 1e199], 0, 0), (2, [2e200, 2.1e199], 0, 0), (3, [1e-200, 1e-201], 0, 0), (4, [-1e200, 0.0], 0, 0), (5, [1e200, 1e199], 1, 0)]
+    found = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, code long")).collect()
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in found} == {1: (2, 1), 2: (2, 1), 3: (2, 1), 4: (0, 4), 5: (0, 5)}
+
+
 def _slow_top_k(rows):
     """Sorted result rows for (id, vector) rows."""
     whole = []
