@@ -62,6 +62,55 @@ def test_embedding_links_of_planted_pairs(spark, dim):
     assert 900 <= links <= 1000
 
 
+def _met(x, y):
+    """Whether the rows of two arrays of codes share a bucket, one's own being among both's."""
+    own = (x[:, :, 0] == y[:, :, 0]).any(axis=1)
+    return own | (x[:, :, 1:] == y[:, :, :1]).any(axis=(1, 2)) | (y[:, :, 1:] == x[:, :, :1]).any(axis=(1, 2))
+
+
+@pytest.mark.parametrize("dim", [64, 100, 768])
+@pytest.mark.parametrize("rows", [3, 1000, 320_000, 30_000_000])
+def test_embedding_recall_at_every_size(dim, rows):
+    rng = np.random.default_rng(dim)
+    x, z = rng.standard_normal((2, 300, dim))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    y = 0.9801 * x + np.sqrt(1 - 0.9801**2) * z
+    bits = embed_dedup.bucket_bits(rows)
+    assert _met(embed_dedup.bucket_codes(x, bits), embed_dedup.bucket_codes(y, bits)).mean() >= 0.97
+
+
+def test_embedding_pairs_grow_with_the_rows():
+    def pairs_of_a_row(rows):
+        x = np.random.default_rng(rows).standard_normal((rows, 64))
+        codes = np.concatenate([embed_dedup.bucket_codes(part, embed_dedup.bucket_bits(rows)) for part in np.array_split(x, 1 + rows // 2000)])
+        met = 0
+        for table in range(embed_dedup.TABLES):
+            home, size = np.unique(codes[:, table, 0], return_counts=True)
+            at = np.searchsorted(home, codes[:, table]).clip(0, len(home) - 1)
+            met += np.where(home[at] == codes[:, table], size[at], 0).sum()
+        return met / rows
+
+    few, many = pairs_of_a_row(5_000), pairs_of_a_row(40_000)
+    assert 0.5 < many / few < 2
+
+
+def test_embedding_components_against_brute_force(spark):
+    rng = np.random.default_rng(8)
+    centre = rng.standard_normal((40, 32))
+    x = np.concatenate([c + 0.05 * rng.standard_normal((6, 32)) for c in centre] + [centre]).astype(np.float32)
+    frame = spark.createDataFrame([(i, v.tolist(), i % 2, 0) for i, v in enumerate(x)], SCHEMA)
+    unit = x.astype(np.float64) / np.linalg.norm(x.astype(np.float64), axis=1, keepdims=True)
+    near = (unit @ unit.T >= 0.98) & (np.arange(len(x))[:, None] % 2 == np.arange(len(x)) % 2)
+    label = np.arange(len(x))
+    for _ in range(len(x)):
+        label = np.where(near, label[None, :], len(x)).min(axis=1)
+    want = {i: (int(near[i].sum()) - 1, int(label[i])) for i in range(len(x))}
+    assert len(set(label)) < len(x) - 20
+    assert {r["vec_id"]: (r["n_links"], r["component_id"]) for r in embed_dedup.near_duplicates(frame).collect()} == want
+
+
 def test_embedding_links_of_extreme_lengths(spark):
     rows = [(1, [1e200, 1e199], 0, 0), (2, [2e200, 2.1e199], 0, 0), (3, [1e-200, 1e-201], 0, 0), (4, [-1e200, 0.0], 0, 0), (5, [1e200, 1e199], 1, 0)]
     found = embed_dedup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int, code long")).collect()
