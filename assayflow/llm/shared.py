@@ -61,6 +61,20 @@ def write_file(folder: str, name: str, parts: list[np.ndarray]) -> str:
     return f"{folder.rstrip('/')}/{own}"
 
 
+def publish(folder: str, name: str, parts: list[np.ndarray]) -> None:
+    """Write arrays one after the other as the file ``name``, which appears when it is whole.
+
+    The content must follow from the name, so that an attempt that finds the file there already leaves it."""
+    filesystem, base = _filesystem(folder)
+    own = write_file(folder, name, parts).rsplit("/", 1)[1]
+    try:
+        filesystem.move(f"{base}/{own}", f"{base}/{name}")
+    except OSError:
+        if filesystem.get_file_info(f"{base}/{name}").type.name != "File":
+            raise
+        filesystem.delete_file(f"{base}/{own}")
+
+
 _local: dict[str, np.ndarray] = {}
 
 
