@@ -3,6 +3,12 @@
 Each stage takes (spark, docs, folder) and returns a DataFrame; its result is written
 as Parquet in the shared folder and read again as the next stage's documents. All
 stages but the last return the columns of ``documents``.
+
+Defined results of every stage: an empty table stays one; other columns, whatever their names, are left out; repeated rows
+are judged each for itself until ``near_duplicates`` keeps one of them; texts are read whole. Null, empty and
+blank texts go in ``quality``, and texts without a letter in ``language``. A null id is judged like any other, but cannot be
+trusted; it stays in a group of near duplicates only if no row there has an id (then one row of each fingerprint does).
+Null labels call nothing good.
 """
 
 from __future__ import annotations
@@ -60,7 +66,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("packing", packing_stage),
 ]
 
-#: The stages learn models and iterate; SQL does not express them. See tests/llm/test_pipeline.py.
+#: The stages learn models and iterate; SQL does not express them. See tests/llm/.
 ORACLE_SQL: str | None = None
 
 
