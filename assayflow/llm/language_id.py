@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .bytesops import Block, blocks, lower_ascii, segment_sums
+from .bytesops import BLOCK_BYTES, Block, blocks, lower_ascii, segment_sums
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -187,11 +187,13 @@ def mixtures(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields)
     schema += ", lang_pred string, score double, lang_mix string, lang_fit double"
 
+    size = max(1, BLOCK_BYTES // max(1, len(model.names)))  # a block's arrays have a column for each language
+
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             letters = batch.column("__letters").to_numpy(zero_copy_only=False).astype(bool)
             kept = [(i, name) for i, name in enumerate(batch.schema.names) if name != "__letters"]
-            for block in blocks(batch.column(text)):
+            for block in blocks(batch.column(text), size):
                 names, scores, mixes = [], [], []
                 theta, fit = model.proportions(block)
                 theta[~letters[block.first : block.last]] = 0
