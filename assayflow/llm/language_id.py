@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .bytesops import BLOCK_BYTES, Block, blocks, lower_ascii, segment_sums
+from .shared import bounded_batches, tidy
 
 BUCKETS = 1 << 15
 SMOOTHING = 0.5
@@ -65,7 +66,9 @@ def _trigram_counts(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang") -> "LanguageModel":
     """Count trigram buckets of all texts by language. The result has languages x BUCKETS cells."""
+    bounded_batches(docs.sparkSession)
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -187,8 +190,10 @@ def mixtures(docs: DataFrame, model: LanguageModel, text: str = "text") -> DataF
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in kept.schema.fields)
     schema += ", lang_pred string, score double, lang_mix string, lang_fit double"
 
+    bounded_batches(docs.sparkSession)
     size = max(1, BLOCK_BYTES // max(1, len(model.names)))  # a block's arrays have a column for each language
 
+    @tidy
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             letters = batch.column("__letters").to_numpy(zero_copy_only=False).astype(bool)

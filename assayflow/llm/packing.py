@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from .chunks import cuts_at_runs, library_table
-from .shared import staged
+from .shared import bounded_batches, staged, tidy
 
 CAPACITY = 4096
 END_ID = 2
@@ -32,7 +32,9 @@ END_ID = 2
 def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, text: str = "text", key: str = "doc_id") -> DataFrame:
     """(doc_id, start, length, ids_crc32, doc_tokens): every document cut at multiples of the capacity."""
     cuts_at_runs(path)
+    bounded_batches(docs.sparkSession)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = batch.column("doc_id").to_pylist()
@@ -128,6 +130,7 @@ def pack(cut: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     ranked = ranked.select(*rows.columns, (F.col("__rank") + F.col("__before")).alias("__rank"))
     schema = ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in rows.schema.fields)
 
+    @tidy
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             names = batch.schema.names

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .components import components
 from .rows import PLACE, placed, without
-from .shared import staged
+from .shared import bounded_batches, staged, tidy
 
 TILE = 8192
 RADIUS = 4
@@ -51,7 +51,9 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE, text: str = "text", key: str = "doc_id", extra: tuple[str, ...] = ()) -> DataFrame:
     """(doc_id, fp, extra columns): the fingerprint of every text as a signed 64-bit integer."""
+    bounded_batches(docs.sparkSession)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("text").cast(pa.large_binary())
@@ -104,6 +106,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     # At most 33 * 33 cells, whatever the number of fingerprints.
     sizes = {r["cell"]: -(-r["n"] // tile) for r in cells.groupBy("cell").agg(F.count("*").alias("n")).collect()}
     spark = distinct.sparkSession
+    bounded_batches(spark)
     near = [
         (c, sizes[c], o, sizes[o])
         for c in sizes
@@ -127,6 +130,7 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     met = left_side.join(right_side, ["cell", "part", "other", "other_part"])
     met = met.select(F.expr("cell = other and part = other_part").alias("same"), "fps", "other_fps")
 
+    @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             left, right = batch.column("fps"), batch.column("other_fps")
