@@ -65,6 +65,13 @@ def write_file(folder: str, name: str, parts: list[np.ndarray]) -> str:
     return f"{folder.rstrip('/')}/{own}"
 
 
+def read_file(folder: str, name: str) -> np.ndarray:
+    """The bytes of a shared file; FileNotFoundError if there is none."""
+    filesystem, base = _filesystem(folder)
+    with filesystem.open_input_file(f"{base}/{name}") as source:
+        return np.frombuffer(source.read(), np.uint8)
+
+
 def publish(folder: str, name: str, parts: list[np.ndarray]) -> None:
     """Write arrays one after the other as the file ``name``, which appears when it is whole.
 

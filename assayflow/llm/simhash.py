@@ -8,13 +8,15 @@ population counts of their two halves, a cell of more than ``TILE`` entries in
 several tiles. Two fingerprints differ in at least as many bits as the
 population counts of their halves differ in sum, so only pairs of tiles within
 the radius meet; every such pair is compared in full with exclusive-or and
-bit counts. A pair of tiles reports the links that span its groups (a forest),
+bit counts. Tiles are files in the shared folder; what is shuffled are the numbers of the tiles of a pair,
+and the task that compares them reads the tiles. A pair of tiles reports the links that span its groups (a forest),
 not all pairs of a group, and the forest's components are found in Spark.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,9 +25,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from .components import components
 from .rows import PLACE, placed, without
-from .shared import bounded_batches, staged, tidy
+from .shared import bounded_batches, publish, read_file, scratch, staged, tidy
 
-TILE = 8192
+TILE = 1 << 15  # fingerprints; a file of 256 KB
+TILES_KEPT = 64
 RADIUS = 4
 SHINGLE = 4
 _MATRIX = 1 << 21
@@ -104,7 +107,8 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
     half = lambda shift: F.bit_count(F.shiftrightunsigned("fp", shift).bitwiseAND(F.lit(0xFFFFFFFF)))
     cells = distinct.select("fp", (half(32) * 33 + half(0)).cast("int").alias("cell"))
     # At most 33 * 33 cells, whatever the number of fingerprints.
-    sizes = {r["cell"]: -(-r["n"] // tile) for r in cells.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    rows = {r["cell"]: r["n"] for r in cells.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    sizes, total = {c: -(-n // tile) for c, n in rows.items()}, sum(rows.values())
     spark = distinct.sparkSession
     bounded_batches(spark)
     near = [
@@ -117,35 +121,48 @@ def links(distinct: DataFrame, radius: int = RADIUS, tile: int = TILE) -> DataFr
         return spark.createDataFrame([], "a long, b long")
     parts = F.element_at(F.create_map(*[F.lit(x) for item in sizes.items() for x in item]), F.col("cell"))
     part = F.pmod(F.xxhash64("fp"), parts).cast("int")
-    tiles = staged(
-        cells.withColumn("part", part).groupBy("cell", "part").agg(F.collect_list("fp").alias("fps")), "tiles"
-    )
+    folder = scratch(spark, "tiles")
+
+    def write(key, table):
+        found = np.sort(table.column("fp").to_numpy())
+        publish(folder, f"{key[0].as_py()}-{key[1].as_py()}", [found])
+        return pa.table({"n": [len(found)]})
+
+    written = cells.withColumn("part", part).groupBy("cell", "part").applyInArrow(write, "n long").agg(F.sum("n")).first()[0]
+    if written != total:
+        raise RuntimeError(f"{written} of {total} fingerprints are in the tiles")
     pairs = spark.createDataFrame(near, "cell int, parts int, other int, other_parts int")
     pairs = pairs.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     pairs = pairs.withColumn("other_part", F.explode(F.sequence(F.lit(0), F.col("other_parts") - 1)))
-    pairs = pairs.where("cell < other or part <= other_part").select("cell", "part", "other", "other_part")
-    right = tiles.select(F.col("cell").alias("other"), F.col("part").alias("other_part"), F.col("fps").alias("other_fps"))
-    left_side = pairs.join(tiles, ["cell", "part"])
-    right_side = pairs.join(right, ["other", "other_part"])
-    met = left_side.join(right_side, ["cell", "part", "other", "other_part"])
-    met = met.select(F.expr("cell = other and part = other_part").alias("same"), "fps", "other_fps")
+    names = ["cell", "part", "other", "other_part"]
+    pairs = pairs.where("cell < other or part <= other_part").select(*names)
+    dealt = pairs.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), *names).sortWithinPartitions(*names)
 
     @tidy
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        @lru_cache(TILES_KEPT)
+        def tile_at(cell: int, part: int) -> np.ndarray:
+            try:
+                return read_file(folder, f"{cell}-{part}").view(np.uint64)
+            except FileNotFoundError:  # no fingerprint fell into this part
+                return np.zeros(0, np.uint64)
+
+        def made() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate([x[k] for x in ends]).view(np.int64)) for k in (0, 1)], ["a", "b"])
+
+        ends, found = [], 0
         for batch in batches:
-            left, right = batch.column("fps"), batch.column("other_fps")
-            left_at, right_at = left.offsets.to_numpy(), right.offsets.to_numpy()
-            left_fps, right_fps = (x.values.to_numpy().view(np.uint64) for x in (left, right))
-            same = batch.column("same").to_pylist()
-            ends = []
-            for i in range(batch.num_rows):
-                a = left_fps[left_at[i] : left_at[i + 1]]
-                b = None if same[i] else right_fps[right_at[i] : right_at[i + 1]]
-                ends.append(spanning_links(a, b, radius))
-            found = [pa.array(np.concatenate([x[k] for x in ends]).view(np.int64)) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays(found, ["a", "b"])
-
-    return met.mapInArrow(compare, "a long, b long")
+            for cell, part, other, other_part in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                same = (cell, part) == (other, other_part)
+                ends.append(spanning_links(tile_at(cell, part), None if same else tile_at(other, other_part), radius))
+                found += len(ends[-1][0])
+                if found >= tile or len(ends) == 1024:
+                    yield made()
+                    ends, found = [], 0
+        if ends:
+            yield made()
+
+    return dealt.mapInArrow(compare, "a long, b long")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, text: str = "text", key: str = "doc_id", extra: tuple[str, ...] = ()) -> DataFrame:
