@@ -17,7 +17,7 @@ Two physical shapes give the same rows:
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 import pyarrow as pa
@@ -29,7 +29,7 @@ from assayflow.functions import text
 from assayflow.functions.arrays import let
 from assayflow.operators.columns import col, drop_present, normalize_case_variant
 from assayflow.operators.filters import head_rows
-from assayflow.session import cut_lineage
+from assayflow.session import bounded_batches, cut_lineage, hand_back
 from assayflow.sinks.files import write_csv
 from assayflow.sources.files import require_nonempty
 
@@ -75,18 +75,24 @@ def with_reasons(df: DataFrame, column: str, fn: Callable[[str], str | None], ou
     if taken:
         raise ValueError(f"the table has columns named {taken} already")
 
+    bounded_batches(df.sparkSession)
+
     @F.arrow_udf("struct<value string, reason string>")
-    def asked(values: pa.Array) -> pa.Array:
-        found, why = [], []
-        for value in values.to_pylist():
-            try:
-                result = fn(value)
-                found.append(result)
-                why.append("no value" if result is None else None)
-            except Exception as error:  # whatever the library raises for a value it cannot handle
-                found.append(None)
-                why.append(f"{type(error).__name__}: {error}")
-        return pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(why, pa.string())], ["value", "reason"])
+    def asked(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        try:
+            for values in batches:
+                found, why = [], []
+                for value in values.to_pylist():
+                    try:
+                        result = fn(value)
+                        found.append(result)
+                        why.append("no value" if result is None else None)
+                    except Exception as error:  # whatever the library raises for a value it cannot handle
+                        found.append(None)
+                        why.append(f"{type(error).__name__}: {error}")
+                yield pa.StructArray.from_arrays([pa.array(found, pa.string()), pa.array(why, pa.string())], ["value", "reason"])
+        finally:
+            hand_back()
 
     rows = df.select(F.struct("*").alias("__row"), F.unhex(F.sha2(col(column), 256)).alias("__digest"))
     values = rows.where(F.col("__digest").isNotNull()).groupBy("__digest").agg(F.any_value(F.col("__row")[column]).alias("__value"))

@@ -128,3 +128,29 @@ def test_settled_values_are_not_normalized_again(spark, tmp_dir, first):
     assert out == {1: "a", 2: "b", 3: "c", 4: "d!!!!!!!!"}
     calls = Counter(line[0] for line in log.read_text().split())
     assert calls == {"a": 1, "b": 2, "c": 4, "d": 5}
+
+
+def _batch_bytes(spark, build, rows):
+    """The largest batch of 1 MB texts that a Python step gets after ``build``."""
+    import pyarrow as pa
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.unset(key)
+    try:
+        texts = spark.range(rows, numPartitions=1).select(F.repeat(F.lit("word "), 200_000).alias("SMILES"), F.col("id").alias("DTXSID"))
+        build(texts)
+
+        @F.arrow_udf("long")
+        def size(values: pa.Array) -> pa.Array:
+            return pa.array([values.nbytes] * len(values), pa.int64())
+
+        return texts.select(size("SMILES").alias("n")).agg(F.max("n")).first()[0]
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_reasons_are_asked_in_bounded_batches(spark):
+    from assayflow.operators.standardize import with_reasons
+
+    assert _batch_bytes(spark, lambda df: with_reasons(df, "SMILES", str.strip), 30) <= 10_000_000
