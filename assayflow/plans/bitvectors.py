@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from assayflow import constants as K
 from assayflow.operators import fingerprints as fp
 from assayflow.operators.columns import col, keep_present, resolve_column
+from assayflow.session import bounded_batches
 from assayflow.sinks.files import save_table, write_if_any
 
 TEXT = "standardized_smiles"
@@ -35,6 +36,7 @@ class BitTables:
 
 def bit_tables(df: DataFrame, radius: int = K.FINGERPRINT_RADIUS, n_bits: int = K.FINGERPRINT_BITS) -> BitTables:
     """Valid rows with ``fingerprint`` (array of 0/1 bytes) and invalid rows (null or blank text)."""
+    bounded_batches(df.sparkSession)
     meta = meta_columns(df).withColumn("valid_mol", fp.is_valid(F.col(TEXT)))
     valid = meta.filter(F.col("valid_mol")).withColumn(
         "fingerprint", fp.dense(fp.on_bits(F.col(TEXT), radius, n_bits), n_bits)

@@ -23,7 +23,7 @@ from assayflow.operators import joins
 from assayflow.operators.matrix import balanced_labels, label_dictionary, sparse_rows
 from assayflow.plans import annotate, bitvectors, chunks, compounds
 from assayflow.plans import screening as S
-from assayflow.session import shared_path, stored
+from assayflow.session import bounded_batches, shared_path, stored
 from assayflow.sinks import files as sinks
 from assayflow.sources import files as sources
 from assayflow.sources.bindings import Tables
@@ -475,6 +475,7 @@ def annotate_compounds(spark, folder):
 
 @query
 def fingerprint_bits(spark, folder):
+    bounded_batches(spark)
     docs = Tables(spark, folder).raw("documents")
     return docs.select("doc_id", F.explode(fingerprints.on_bits(F.col("text"))).alias("bit"))
 

@@ -154,3 +154,7 @@ def test_reasons_are_asked_in_bounded_batches(spark):
     from assayflow.operators.standardize import with_reasons
 
     assert _batch_bytes(spark, lambda df: with_reasons(df, "SMILES", str.strip), 30) <= 10_000_000
+
+
+def test_bit_tables_get_bounded_batches(spark):
+    assert _batch_bytes(spark, bit_tables, 30) <= 10_000_000
