@@ -76,7 +76,7 @@ class _Screen:
         return S.cytotox_estimate(self.rows())
 
     def cell_results(self) -> DataFrame:
-        return S.cell_results(self.other(), self.cytotox())
+        return S.cell_results(S.other_rows(self.inputs, self.eps), self.eps.cell_other, self.levels())
 
     def cellfree_results(self) -> DataFrame:
         return S.cellfree_results(self.exp, self.eps.cellfree)

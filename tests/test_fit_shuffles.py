@@ -55,6 +55,36 @@ def _inputs(spark):
     )
 
 
+def test_figures_come_from_the_cell_else_the_tissue(spark):
+    inputs = _inputs(spark)
+    eps = S.endpoint_metadata(inputs)
+    levels = S.level_stats(S.cell_rows(inputs, eps))
+    rows = S.cell_results(S.other_rows(inputs, eps), eps.cell_other, levels).collect()
+    # A sample's chemical is there twice, so its fits are, and the viability fits count twice; fits 5 to 9 find nothing.
+    got = sorted((r.m4id, r.dsstox_substance_id, r.aeid, r.cytotox_source, r.cytotox_ntested, r.cytotox_nhit, r.cytotox_median_ac50) for r in rows)
+    assert got == [
+        ("3", "D10", 2, "cell_short_name", 4, 4, 3.0),
+        ("3", "D10b", 2, "cell_short_name", 4, 4, 3.0),
+        ("4", "D10", 3, "tissue", 4, 4, 3.0),
+        ("4", "D10b", 3, "tissue", 4, 4, 3.0),
+    ]
+    # the estimates for each (chid, cell, tissue) say the same
+    estimate = S.cytotox_estimate(S.cell_rows(inputs, eps))
+    other = S.cell_other_results(S.experiment_table(inputs, S.selected_endpoint_ids(eps)), eps.cell_other)
+    names = S.K.CELL_RESULT_COLUMNS
+    want = joins.inner(other, estimate, ["chid", "cell_short_name", "tissue"]).select(*names).collect()
+    assert sorted(map(str, rows)) == sorted(map(str, want))
+
+
+def test_metadata_joins_last_and_is_not_shuffled_on(spark, no_broadcast):
+    import __spark_entry__ as entry
+
+    plan = _plan(spark, entry.queries()["cell_results"](spark, "/root/testdata/sf0.001"))
+    # Only the joins of assays, components and endpoints shuffle the description, before any fit is joined with it.
+    assert plan.index("SortMergeJoin [aeid") < plan.index("SortMergeJoin [chid")
+    assert "hashpartitioning(chid" in plan and not re.search(r"hashpartitioning\(chid#\w+, cell_short_name#\w+, tissue#\w+, \d+\)", plan)
+
+
 def test_the_pivot_shuffles_once_with_its_join(spark, no_broadcast):
     inputs = _inputs(spark)
     whole = S.experiment_table(inputs)
