@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayflow.operators.columns import col
@@ -49,6 +49,29 @@ def semi_filter(df: DataFrame, ids: DataFrame, key: str | Sequence[str]) -> Data
     return df.join(ids.select(*keys), on=keys, how="left_semi")
 
 
+#: Bits that ``prefilter`` marks keys by; 64 of them are a row of the table that every task gets (2^18 rows at most).
+PREFILTER_BITS = 1 << 24
+
+
+def prefilter(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """Rows whose key may be in ``ids``, before a join on it: no row that the join needs is lost, and few others are shuffled.
+
+    A hash of each id marks a bit. The table of marked bits has a fixed size: the more ids,
+    the more other rows pass, and it never grows past what a task can hold. Keys of two types, whose hashes differ, are not filtered."""
+    if df.select(col(key)).schema[0].dataType != ids.select(col(key)).schema[0].dataType:
+        return df
+
+    def place(name: str) -> Column:
+        return F.xxhash64(col(name)).bitwiseAND(F.lit(PREFILTER_BITS - 1))
+
+    own = ids.where(col(key).isNotNull()).select(place(key).alias("__at"))
+    bit = F.expr("shiftleft(1L, cast(__at & 63 as int))")
+    marked = own.groupBy(F.shiftright("__at", 6).alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    at = place(key)
+    hit = F.getbit(F.col("__bits"), at.bitwiseAND(F.lit(63)).cast("int")) == 1
+    return df.join(F.broadcast(marked), (F.shiftright(at, 6) == F.col("__word")) & hit, "left_semi")
+
+
 def at_least(df: DataFrame, name: str, threshold) -> DataFrame:
     return df.filter(col(name) >= F.lit(threshold))
 

@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from assayflow.operators.columns import col, quote
@@ -78,10 +78,15 @@ def fallback_join(
     finds on the right and tagged with that level's ``tag``; rows unmatched at
     every level are dropped. The right sides have the same non-key columns.
 
-    One left join for each level, which looks only at rows still unmatched, so
-    neither the left side nor a level is read twice.
+    Keys that all levels share join once: the levels' rows are gathered for each of their values, as many as it has finer
+    keys, and the other keys are compared there, so the left side is shuffled once whatever the levels.
+    Without shared keys there is one left join for each level, which looks only at rows still unmatched. Neither
+    way reads the left side or a level twice.
     """
     values = [c for c in levels[0][1].columns if c not in levels[0][0]]
+    shared = [c for c in levels[0][0] if all(c in keys for keys, _, _ in levels)]
+    if shared:
+        return _fallback_shared(left_df, levels, shared, values, tag_column)
     out = left_df.withColumn(tag_column, F.lit(None).cast("string"))
     for i, (keys, right, tag) in enumerate(levels):
         keys = list(keys)
@@ -97,6 +102,38 @@ def fallback_join(
     return out.where(col(tag_column).isNotNull()).select(*[col(c) for c in left_df.columns], *picked, col(tag_column))
 
 
+def _fallback_shared(
+    left_df: DataFrame, levels: Sequence[tuple[Sequence[str], DataFrame, str]], shared: list[str], values: list[str], tag_column: str
+) -> DataFrame:
+    """``fallback_join`` by the keys that all levels share."""
+    mark = "__"  # begins no name of the left side
+    while any(c.startswith(mark) for c in left_df.columns):
+        mark += "_"
+    own = [col(c) for c in left_df.columns]
+    keyed = {c: f"{mark}s{n}" for n, c in enumerate(shared)}
+    valued = {c: f"{mark}v{n}" for n, c in enumerate(values)}
+    lists, tagged = [f"{mark}l{i}" for i in range(len(levels))], f"{mark}tag"
+
+    def answers(name: str, rest: list[str]) -> Column:
+        """The answers of one level whose other keys are the row's."""
+        same = [lambda x, n=n, c=c: x[f"k{n}"] == col(c) for n, c in enumerate(rest)]
+        fits = F.filter(F.col(name), lambda x: reduce(lambda a, b: a & b, [s(x) for s in same], F.lit(True)))
+        return F.transform(fits, lambda x: F.struct(*[x[v].alias(v) for v in [*valued.values(), tagged]]))
+
+    sides, found = [], []
+    for name, (keys, right, tag) in zip(lists, levels, strict=True):
+        rest = [c for c in keys if c not in shared]
+        row = [col(c).alias(f"k{n}") for n, c in enumerate(rest)] + [col(c).alias(v) for c, v in valued.items()]
+        known = right.dropna(subset=[quote(c) for c in keys])  # a null key matches nothing
+        sides.append(known.select(*[col(c).alias(s) for c, s in keyed.items()], F.struct(*row, F.lit(tag).alias(tagged)).alias(name)))
+        found.append(answers(name, rest).alias(name))
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides)
+    gathered = stacked.groupBy(*keyed.values()).agg(*[F.collect_list(name).alias(name) for name in lists])
+    met = left_df.join(gathered, [left_df[quote(c)] == gathered[s] for c, s in keyed.items()]).select(*own, *found)
+    met = met.select(*own, F.inline(F.coalesce(*[F.when(F.size(name) > 0, F.col(name)) for name in lists])))
+    return met.select(*own, *[F.col(v).alias(c) for c, v in valued.items()], F.col(tagged).alias(tag_column))
+
+
 def fallback_stacked(
     left_df: DataFrame,
     right: DataFrame,

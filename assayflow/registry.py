@@ -232,7 +232,8 @@ def cellfree_hits(spark, folder):
 
 @query
 def cell_results(spark, folder):
-    return _Screen(spark, folder).cell_results()
+    """Stores the endpoints, the joined fits and the cytotox figures when it is built."""
+    return S.staged_cell_results(_inputs(spark, folder), stored)
 
 
 @query
