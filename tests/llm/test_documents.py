@@ -13,6 +13,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from assayflow.llm import bpe, language_id, lm_scoring, packing, quality, sharding, simhash, token_output
+from assayflow.llm.bytesops import blocks
 from assayflow.llm.queries import word_bpe_path
 
 PATH = word_bpe_path()
@@ -237,6 +238,19 @@ def test_quality_counts_all_trusted_documents(many_trusted, monkeypatch):
     assert 17_500 < learned[0] < 18_500  # three quarters
 
 
+def test_quality_trigrams_of_every_byte():
+    texts = ["", None, "a", "\x00", "a\x00b", "漢字é\n", "ab" * 5000, *["x" * k for k in range(40)]]
+    found = []
+    for block in blocks(pa.array(texts), 100):
+        owner, codes = quality._trigrams(block)
+        found += [(block.first + int(i), int(c)) for i, c in zip(owner, codes, strict=True)]
+    want = []
+    for i, text in enumerate(texts):
+        raw = b"\0\0" + (text or "").encode() + b"\0"
+        want += [(i, raw[k] << 16 | raw[k + 1] << 8 | raw[k + 2]) for k in range(len(raw) - 2)]
+    assert found == want
+
+
 def test_quality_counts_beyond_32_bits():
     keys, counts = np.array([3, 9], np.uint64), np.array([7, 5 << 32], np.int64)
     assert [x.tolist() for x in quality.unpack(quality.pack(keys, counts, "<u8"), "<u8")] == [[3, 9], [7, 5 << 32]]
