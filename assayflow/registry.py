@@ -232,8 +232,8 @@ def cellfree_hits(spark, folder):
 
 @query
 def cell_results(spark, folder):
-    """Stores the endpoints, the joined fits and the cytotox figures when it is built."""
-    return S.staged_cell_results(_inputs(spark, folder), stored)
+    s = _Screen(spark, folder)
+    return S.prefiltered_cell_results(s.inputs, s.eps)
 
 
 @query
